@@ -240,9 +240,14 @@ def _coarse_steps(spark, sf_dir):
     """Step rows cut to the day and to fifties, so that files hold copies."""
     day = F.col("unixTimestampInMs") - F.col("unixTimestampInMs") % 86_400_000
     coarse = F.floor(F.col("steps") / 50).cast("int")
-    return S.raw(spark, sf_dir, "view").withColumn("unixTimestampInMs", day).withColumn(
-        "isoDate", F.concat(F.substring("isoDate", 1, 10), F.lit("T00:00:00Z"))
-    ).withColumn("steps", coarse).withColumn("totalSteps", coarse * 10)
+    return S.raw(spark, sf_dir, "view").withColumns(
+        {
+            "unixTimestampInMs": day,
+            "isoDate": F.concat(F.substring("isoDate", 1, 10), F.lit("T00:00:00Z")),
+            "steps": coarse,
+            "totalSteps": coarse * 10,
+        }
+    )
 
 
 @query

@@ -9,7 +9,7 @@ from __future__ import annotations
 _EV = """ev AS (
   SELECT *, lpad(hex(user_id), 8, '0') AS pid,
          'P' || user_id || '_' || lpad(hex(user_id), 8, '0') AS patient_id,
-         epoch_ms(ts) AS ms,
+         epoch_us(ts) // 1000 AS ms,
          CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k,
          strftime(date_trunc('millisecond', ts), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS iso,
          strftime(ts, '%Y-%m-%d %H:%M') AS minute,
@@ -160,7 +160,7 @@ SELECT participant_id, "Timestamp" AS timestamp, "unixTimestampInMs", "beatsPerM
   source_file, line_no FROM hr"""
 
 _STEPS = f"""coarse AS (
-  SELECT pid, strftime(ts, '%Y-%m-%d 00:00') AS m, epoch_ms(date_trunc('day', ts)) AS ms0,
+  SELECT pid, strftime(ts, '%Y-%m-%d 00:00') AS m, epoch_us(date_trunc('day', ts)) // 1000 AS ms0,
     CAST(floor(floor(value) / 50) AS INTEGER) AS steps, {_file("kind")} AS source_file, event_id
   FROM ev WHERE event_type = 'view'),
 steps AS (
@@ -208,15 +208,15 @@ su AS (
     row_number() OVER (PARTITION BY source_file ORDER BY event_id) - 1 AS row_index
   FROM st JOIN med USING (source_file)),
 grown AS (
-  SELECT su.*, greatest(1, CAST(ceil(dur / 60000) AS BIGINT)) AS total, i, ms + i * 60000 AS at
+  SELECT su.*, greatest(1, CAST(ceil(dur / 60000) AS BIGINT)) AS total, i, ms + i * 60000 AS arrived
   FROM su, LATERAL (SELECT unnest(generate_series(0, greatest(1, CAST(ceil(dur / 60000) AS BIGINT)) - 1)) AS i) g
   WHERE grows AND dur > 0)"""
 
 
-_MINUTE_OF = "strftime(make_timestamp(at * 1000), '%Y-%m-%d %H:%M')"
+_MINUTE_OF = "strftime(make_timestamp(arrived * 1000), '%Y-%m-%d %H:%M')"
 
 _SLEEP_ROWS = f"""slept AS (
-  SELECT pid AS participant_id, type, pid AS "sleepSummaryId", at AS "unixTimestampInMs",
+  SELECT pid AS participant_id, type, pid AS "sleepSummaryId", arrived AS "unixTimestampInMs",
     CAST(60000 AS BIGINT) AS "durationInMs", CAST(1.0 AS DOUBLE) AS "TimeInMin", i + 1 AS "minuteIndex",
     total AS "originalDurationMinutes", row_index AS "originalIndex", {_MINUTE_OF} AS "Timestamp",
     pid || '_' || {_MINUTE_OF} AS participantid_timestamp, source_file, event_id AS line_no
@@ -226,7 +226,7 @@ ORACLE["sleep_expand"] = _with(_sleep("floor(value * 1000)"), _SLEEP_ROWS) + "SE
 
 ORACLE["sleep_unit_inference"] = _with(_sleep("floor(floor(value * 1000) / 100)")) + """
 SELECT source_file, event_id AS line_no, i + 1 AS "minuteIndex", total AS "originalDurationMinutes",
-  at AS "unixTimestampInMs" FROM grown"""
+  arrived AS "unixTimestampInMs" FROM grown"""
 
 ORACLE["sleep_defaults"] = _with(_sleep("60000")) + """
 SELECT pid AS participant_id, 'light' AS type, pid AS "sleepSummaryId", (ms // 1000) * 1000 AS "unixTimestampInMs",
@@ -236,7 +236,7 @@ SELECT pid AS participant_id, 'light' AS type, pid AS "sleepSummaryId", (ms // 1
 FROM su"""
 
 ORACLE["sleep_fallback"] = _with(_sleep("floor(value * 1000) - 60000")) + """
-SELECT pid AS participant_id, source_file, event_id AS line_no, at AS "unixTimestampInMs",
+SELECT pid AS participant_id, source_file, event_id AS line_no, arrived AS "unixTimestampInMs",
   CAST(60000 AS BIGINT) AS "durationInMs", i + 1 AS "minuteIndex", row_index AS "originalIndex"
 FROM grown
 UNION ALL
@@ -429,25 +429,25 @@ _KINDS = ["garmin-device-heart-rate", "garmin-connect-sleep-stage", "garmin-devi
 
 _SENT = """sent AS (
   SELECT event_id * 2 AS arrival_id, patient_id, kind, kind || '/f' || event_id || '.csv' AS file_id, k,
-    make_timestamp(1706745600000000 + (epoch_us(ts) - 1704067200000000) // 31) AS at
+    make_timestamp(1706745600000000 + (epoch_us(ts) - 1704067200000000) // 31) AS arrived
   FROM ev WHERE value < 300),
 came AS (
-  SELECT arrival_id, patient_id, kind, file_id, at, patient_id || '#' || strftime(at, '%Y-%m-%d') AS batch_key FROM sent
+  SELECT arrival_id, patient_id, kind, file_id, arrived, patient_id || '#' || strftime(arrived, '%Y-%m-%d') AS batch_key FROM sent
   UNION ALL
-  SELECT arrival_id + 1, patient_id, kind, file_id, at + INTERVAL 10 MINUTE,
-    patient_id || '#' || strftime(at + INTERVAL 10 MINUTE, '%Y-%m-%d') FROM sent WHERE k >= 50),
+  SELECT arrival_id + 1, patient_id, kind, file_id, arrived + INTERVAL 10 MINUTE,
+    patient_id || '#' || strftime(arrived + INTERVAL 10 MINUTE, '%Y-%m-%d') FROM sent WHERE k >= 50),
 want AS (SELECT patient_id, kind, count(*) AS expected FROM ev WHERE value >= 1 GROUP BY 1, 2),
 once AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY batch_key, file_id ORDER BY at, arrival_id) AS rn FROM came) WHERE rn = 1)"""
+    SELECT *, row_number() OVER (PARTITION BY batch_key, file_id ORDER BY arrived, arrival_id) AS rn FROM came) WHERE rn = 1)"""
 
 # every distinct arrival with all types' running counts after it
 _REPLAY = "replay AS (SELECT once.*, " + ", ".join(
     f"count(*) FILTER (kind = '{t}') OVER w AS a{i}, "
     f"coalesce((SELECT expected FROM want WHERE want.patient_id = once.patient_id AND want.kind = '{t}'), 0) AS x{i}"
     for i, t in enumerate(_KINDS)
-) + """ FROM once WINDOW w AS (PARTITION BY batch_key ORDER BY at RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-done AS (SELECT batch_key, any_value(patient_id) AS patient_id, min(at) AS completed_at FROM replay WHERE """ + " AND ".join(
+) + """ FROM once WINDOW w AS (PARTITION BY batch_key ORDER BY arrived RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+done AS (SELECT batch_key, any_value(patient_id) AS patient_id, min(arrived) AS completed_at FROM replay WHERE """ + " AND ".join(
     f"(a{i} = 0 OR x{i} = 0 OR a{i} >= x{i})" for i in range(6)
 ) + " AND (" + " OR ".join(f"(a{i} > 0 AND x{i} > 0)" for i in range(6)) + ") GROUP BY 1)"
 
@@ -472,7 +472,7 @@ FROM once JOIN want USING (patient_id, kind) GROUP BY 1, 2"""
 
 _FIRST = """fin AS (
   SELECT batch_key, any_value(done.patient_id) AS patient_id, any_value(completed_at) AS completed_at, count(*) AS total_files
-  FROM done JOIN once USING (batch_key) WHERE at <= completed_at GROUP BY 1)"""
+  FROM done JOIN once USING (batch_key) WHERE arrived <= completed_at GROUP BY 1)"""
 
 ORACLE["batch_first_complete"] = _with(_SENT, _REPLAY, _FIRST) + "SELECT * FROM fin"
 
@@ -481,7 +481,7 @@ _STRICT = _REPLAY.replace("a0 = 0 OR ", "").replace("a1 = 0 OR ", "").replace("a
 ORACLE["batch_manifest_mode"] = _with(_SENT, _STRICT, _FIRST) + "SELECT * FROM fin"
 
 ORACLE["batch_outcomes"] = _with(_SENT, _REPLAY, """closing AS (
-  SELECT batch_key, max(file_id) AS file_id FROM replay JOIN done USING (batch_key) WHERE at = completed_at
+  SELECT batch_key, max(file_id) AS file_id FROM replay JOIN done USING (batch_key) WHERE arrived = completed_at
     AND CASE kind """ + " ".join(f"WHEN '{t}' THEN x{i} > 0 AND a{i} >= x{i}" for i, t in enumerate(_KINDS)) + """ END
   GROUP BY 1)""") + """
 SELECT came.arrival_id, CASE WHEN once.arrival_id IS NULL THEN 'duplicate' WHEN closing.file_id IS NOT NULL THEN 'triggered'
