@@ -148,18 +148,21 @@ def align_rows(
     # Minutes with very many readings of one type (usually none at all) and
     # readings without a key are looked for first, in one narrow aggregate over
     # the keys: the former must not be gathered into one row.
-    kinds = range(len(K.DEVICE_TYPES))
-    counts = stacked.groupBy(*KEYS).agg(
-        *[F.count_if(F.col("kind") == i).alias(f"n{i}") for i in kinds]
-    )
     has_key = F.col("participant_id").isNotNull() & F.col("timestamp").isNotNull()
-    is_hot = has_key & (F.greatest(*[F.col(f"n{i}") for i in kinds]) > crowded)
-    found = counts.agg(F.count_if(is_hot).alias("hot"), F.count_if(~has_key).alias("loose")).first()
+    found = (
+        stacked.groupBy(*KEYS, "kind")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count_if(has_key & (F.col("n") > crowded)).alias("hot"), F.count_if(~has_key).alias("loose"))
+        .first()
+    )
 
     calm = keyed
     parts = []
     if found["hot"]:
-        hot = counts.where(is_hot)
+        kinds = range(len(K.DEVICE_TYPES))
+        hot = keyed.groupBy(*KEYS).agg(
+            *[F.count_if(F.col("kind") == i).alias(f"n{i}") for i in kinds]
+        ).where(F.greatest(*[F.col(f"n{i}") for i in kinds]) > crowded)
         if found["hot"] <= MOST_BROADCAST:
             hot = F.broadcast(hot)  # size checked above
         calm = keyed.join(hot.select(*KEYS), KEYS, "left_anti")

@@ -9,6 +9,7 @@ only one summary row per cell along the group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def with_row_index(
 def heavy_keys(
     rows: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS, most: int = MOST_HEAVY
 ) -> DataFrame:
-    """The largest keys, at most ``most`` of them.
+    """The largest keys with their row numbers ``_n``, at most ``most`` of them.
 
     This only steers how work is split; nothing is left out of a result. The
     size is bounded whatever the data: a key that is not listed has at most
@@ -87,41 +88,56 @@ def heavy_keys(
         .where(F.col("_n") > heavy_rows)
         .orderBy(F.col("_n").desc())
         .limit(most)
-        .drop("_n")
     )
 
 
-def _cells(
-    rows: DataFrame,
-    group: Sequence[str],
-    order: str,
-    tie: str,
-    width: int,
-    heavy_rows: int,
-    tie_chunk: int,
-) -> DataFrame:
-    """Add ``_cell``: contiguous pieces of each group in (order, tie) order."""
-    value = F.col(order)
-    slot = F.coalesce(
-        ((value - F.pmod(value, F.lit(width))) / F.lit(width)).cast("bigint"), F.lit(_LOWEST)
+def _mark(rows: DataFrame, listed: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add the number of rows of listed keys as ``name``, null for the others."""
+    side = listed.select(*[F.col(c).alias(f"_h_{c}") for c in keys], F.col("_n").alias(name))
+    same = reduce(
+        lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in keys]
     )
-    rows = rows.withColumn("_slot", slot)
-    heavy = heavy_keys(rows, [*group, "_slot"], heavy_rows).withColumn("_heavy", F.lit(True))
-    named = heavy.select(*[F.col(c).alias(f"_h_{c}") for c in [*group, "_slot"]], "_heavy")
-    same = [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in [*group, "_slot"]]
-    condition = same[0]
-    for more in same[1:]:
-        condition = condition & more
     # broadcast: at most MOST_HEAVY rows by construction (see heavy_keys)
-    marked = rows.join(F.broadcast(named), condition, "left").drop(
-        *[f"_h_{c}" for c in [*group, "_slot"]]
+    return rows.join(F.broadcast(side), same, "left").drop(*[f"_h_{c}" for c in keys])
+
+
+def _cells(
+    rows: DataFrame, group: Sequence[str], order: str, tie: str, width: int, heavy_rows: int
+) -> DataFrame:
+    """Add ``_cell``: contiguous pieces of each group in (order, tie) order.
+
+    A cell is a slot of ``width`` in ``order``. Where a slot has more than
+    ``heavy_rows`` rows it is cut into equal parts by its number of rows, and
+    a part that is still too large (rows crowding on few values) by the exact
+    value and by chunks of ``tie``, which numbers rows.
+    """
+    value = F.coalesce(F.col(order), F.lit(_LOWEST))
+    none = F.lit(0).cast("bigint")
+    # in doubles: monotone in ``order``, and an absurd epoch cannot overflow
+    slot = F.coalesce(F.floor(F.col(order) / F.lit(float(width))), F.lit(_LOWEST))
+    into = F.col(order).cast("double") - F.col("_slot") * F.lit(float(width))
+    slots = rows.withColumn("_slot", slot)
+    where = [*group, "_slot"]
+    largest = slots.groupBy(*where).count().agg(F.max("count").alias("n")).first()["n"]
+    if largest is None or largest <= heavy_rows:
+        return slots.withColumn("_cell", F.struct("_slot")).drop("_slot")
+
+    target = max(1, heavy_rows // 4)
+    marked = _mark(slots, heavy_keys(slots, where, heavy_rows), where, "_in_slot")
+    part = F.greatest(F.lit(1), F.floor(F.lit(float(width) * target) / F.col("_in_slot")))
+    marked = marked.withColumn(
+        "_part", F.coalesce(F.when(F.col("_in_slot").isNotNull(), F.floor(into / part)), none)
     )
+    crowded = heavy_keys(marked.where(F.col("_in_slot").isNotNull()), [*where, "_part"], heavy_rows)
+    marked = _mark(marked, crowded, [*where, "_part"], "_in_part")
+    tight = F.col("_in_part").isNotNull()
     cell = F.struct(
-        F.col("_slot").alias("slot"),
-        F.when(F.col("_heavy"), F.coalesce(value, F.lit(_LOWEST))).otherwise(F.lit(_LOWEST)).alias("at"),
-        F.when(F.col("_heavy"), chunk_of(tie, tie_chunk)).otherwise(F.lit(0)).cast("bigint").alias("part"),
+        "_slot",
+        "_part",
+        F.when(tight, value).otherwise(none).alias("_at"),
+        F.when(tight, chunk_of(tie, target)).otherwise(none).alias("_piece"),
     )
-    return marked.withColumn("_cell", cell).drop("_slot", "_heavy")
+    return marked.withColumn("_cell", cell).drop("_slot", "_in_slot", "_part", "_in_part")
 
 
 def with_neighbours(
@@ -132,20 +148,18 @@ def with_neighbours(
     value: str,
     previous: str | None = None,
     following: str | None = None,
-    width: int = 3_600_000,
+    width: int = 86_400_000,
     heavy_rows: int = HEAVY_ROWS,
-    tie_chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
     """``value`` of the row before and after, per group, nulls of ``order`` first.
 
     Equal to lag and lead over the whole group, but the sort works on cells of
-    ``width`` in ``order`` (an hour for epochs in ms). A cell with many rows is
-    cut further by the exact ``order`` value and by ``tie``, which numbers rows.
-    The first row of a cell takes its value from the last row of the cell
-    before, found among one edge row per cell.
+    at most about ``heavy_rows`` rows (see ``_cells``; ``width`` is a day for
+    epochs in ms). The first row of a cell takes its value from the last row of
+    the cell before, found among one edge row per cell.
     """
     group = list(group)
-    cut = _cells(rows, group, order, tie, width, heavy_rows, tie_chunk)
+    cut = _cells(rows, group, order, tie, width, heavy_rows)
     spot = F.struct(order, tie)
     edge = F.struct(F.col(value).alias("v"))
     along = Window.partitionBy(*group).orderBy("_cell")

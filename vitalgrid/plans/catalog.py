@@ -530,8 +530,7 @@ def batch_events(spark, sf_dir):
 
 def _stream(spark, sf_dir):
     """The arrivals as a stream over the table's file."""
-    schema = S.table(spark, sf_dir, "events").schema
-    return batches.read_arrivals(spark, sf_dir, schema, glob="events.parquet")
+    return batches.read_arrivals(spark, sf_dir, S.SCHEMAS["events"], glob="events.parquet")
 
 
 def _stream_arrivals(spark, sf_dir):

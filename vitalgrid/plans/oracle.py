@@ -226,7 +226,9 @@ ORACLE["sleep_expand"] = _with(_sleep("floor(value * 1000)"), _SLEEP_ROWS) + "SE
 
 ORACLE["sleep_unit_inference"] = _with(_sleep("floor(floor(value * 1000) / 100)")) + """
 SELECT source_file, event_id AS line_no, i + 1 AS "minuteIndex", total AS "originalDurationMinutes",
-  arrived AS "unixTimestampInMs" FROM grown"""
+  arrived AS "unixTimestampInMs" FROM grown
+UNION ALL
+SELECT source_file, event_id, NULL, NULL, ms FROM su WHERE NOT grows"""
 
 ORACLE["sleep_defaults"] = _with(_sleep("60000")) + """
 SELECT pid AS participant_id, 'light' AS type, pid AS "sleepSummaryId", (ms // 1000) * 1000 AS "unixTimestampInMs",

@@ -21,8 +21,16 @@ ACTS_AS = {
 PREAMBLE = ("Study export", "projectId,1", "device,watch", "zone,UTC", "generated,yes", "notes,none")
 
 
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A generated table; its schema is known, so no file is opened to plan."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def acts_as() -> Column:
@@ -45,20 +53,24 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the columns every view uses."""
     at = F.col("ts").cast("timestamp")
     pid = F.lpad(F.hex("user_id"), 8, "0")
-    return (
-        table(spark, sf_dir, "events")
-        .withColumn("at", at)
-        .withColumn("ms", F.unix_millis(at))
-        .withColumn("pid", pid)
-        .withColumn("patient_id", F.concat(F.lit("P"), F.col("user_id").cast("string"), F.lit("_"), pid))
-        .withColumn("iso", F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    return table(spark, sf_dir, "events").select(
+        "*",
+        at.alias("at"),
+        F.unix_millis(at).alias("ms"),
+        pid.alias("pid"),
+        F.concat(F.lit("P"), F.col("user_id").cast("string"), F.lit("_"), pid).alias("patient_id"),
+        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("iso"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
 
 
 def raw(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     """Raw rows of one device type, as its files would hold them."""
-    df = events(spark, sf_dir).where(F.col("event_type") == event_type)
+    return raw_of(events(spark, sf_dir), event_type)
+
+
+def raw_of(df: DataFrame, event_type: str) -> DataFrame:
+    df = df.where(F.col("event_type") == event_type)
     trace = [device_path(F.lit(ACTS_AS[event_type])).alias("source_file"), F.col("event_id").alias("line_no")]
     iso, ms = F.col("iso").alias("isoDate"), F.col("ms").alias("unixTimestampInMs")
     whole = F.floor("value").cast("int")
@@ -83,8 +95,9 @@ def prepared_frames(spark: SparkSession, sf_dir: str, grain: str) -> dict[str, D
     names = {"click": ["beatsPerMinute"], "view": ["steps", "totalSteps"], "signup": ["breathsPerMinute"],
              "purchase": ["stressLevel"], "error": ["durationInMs", "type"]}
     out = {}
+    all_events = events(spark, sf_dir)
     for event_type, data_type in ACTS_AS.items():
-        df = raw(spark, sf_dir, event_type)
+        df = raw_of(all_events, event_type)
         at = F.timestamp_millis("unixTimestampInMs")
         out[data_type] = df.select(
             F.substring(F.substring_index("source_file", "_", -1), 1, 8).alias("participant_id"),
