@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OFFSET = r"(?:Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d(?:\.\d+)?)?)?)?"
+_OFFSET = r"(?: ?(?:Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d(?:\.\d+)?)?)?))?"
 _ISO = (
     r"^(\d{4})-?(\d\d)-?(\d\d)(?:\D(\d\d)(?::?(\d\d)(?::?(\d\d)(?:[.,]\d+)?)?)?" + _OFFSET + ")?$"
 )
