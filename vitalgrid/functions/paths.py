@@ -51,16 +51,11 @@ def batch_key(patient: Column, day: Column) -> Column:
 
 def route(path: Column) -> Column:
     """Which cleaner takes a path; null when none does."""
-    parts = F.split(path, "/")
-    kind, sub = F.get(parts, F.lit(1)), F.get(parts, F.lit(2))
-    form = (kind == K.QUESTIONNAIRE) & F.startswith(sub, F.lit(K.QUESTIONNAIRE_FORM))
-    return (
-        F.when(form, F.lit("survey"))
-        .when(kind == K.HEART_RATE, F.lit("heart-rate"))
-        .when(kind == K.SLEEP, F.lit("sleep"))
-        .when(kind == K.STEP, F.lit("step"))
-        .when(kind.isin(*K.OTHER_TYPES), F.lit("others"))
-    )
+    kind = F.split_part(path, F.lit("/"), F.lit(2))
+    takes = {K.HEART_RATE: "heart-rate", K.SLEEP: "sleep", K.STEP: "step", **{t: "others" for t in K.OTHER_TYPES}}
+    table = F.create_map(*[F.lit(x) for pair in takes.items() for x in pair])
+    form = path.rlike(f"^[^/]*/{K.QUESTIONNAIRE}/{K.QUESTIONNAIRE_FORM}")
+    return F.when(form, F.lit("survey")).otherwise(F.try_element_at(table, kind))
 
 
 def survey_clean_path(path: Column) -> Column:

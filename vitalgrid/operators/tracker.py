@@ -34,8 +34,13 @@ def arrivals(df: DataFrame, types=K.DEVICE_TYPES, path: str = "object_key", at:
 
 
 def first_arrivals(df: DataFrame) -> DataFrame:
-    """Each file of a batch once, at its first arrival (partial aggregate)."""
-    return df.groupBy("batch_key", "patient_id", "data_type", "file_id").agg(
+    """Each file of a batch once, at its first arrival (partial aggregate).
+
+    The null test changes nothing; stated here, it keeps the aggregate the same
+    wherever it is used, so that one exchange serves all its uses in a plan.
+    """
+    keys = ["batch_key", "patient_id", "data_type", "file_id"]
+    return df.dropna(subset=[*keys, "arrived_at"]).groupBy(*keys).agg(
         F.min("arrived_at").alias("arrived_at")
     )
 
@@ -110,35 +115,44 @@ def completion(progress: DataFrame, expected: DataFrame, known_types: str = "fro
     # at most one entry per data type, so the list is short by construction
     one = F.struct("data_type", "seen", "reached")
     per_batch = counted.groupBy("batch_key", "patient_id").agg(F.collect_list(one).alias("types"))
+    return per_batch.select("batch_key", "patient_id", _closing_time("types").alias("completed_at"))
+
 
+def _closing_time(types: str) -> Column:
+    """First moment at which a type closes and no other seen type is open."""
     def closes(t: Column) -> Column:
         def open_then(u: Column) -> Column:
             return (u["seen"] <= t["reached"]) & (u["reached"].isNull() | (u["reached"] > t["reached"]))
 
-        return t["reached"].isNotNull() & ~F.exists("types", open_then)
+        return t["reached"].isNotNull() & ~F.exists(types, open_then)
 
-    moments = F.transform(F.filter("types", closes), lambda t: t["reached"])
-    return per_batch.select("batch_key", "patient_id", F.array_min(moments).alias("completed_at"))
+    return F.array_min(F.transform(F.filter(types, closes), lambda t: t["reached"]))
 
 
 def status(df: DataFrame, expected: DataFrame, known_types: str = "frozen_on_first_arrival") -> DataFrame:
     """Per batch: actual and expected per type, total, status, completion time."""
     progress = type_progress(df, expected)
-    done = completion(progress, expected, known_types)
+    counts = [
+        cell
+        for t in K.DEVICE_TYPES
+        for cell in (
+            F.coalesce(F.max(F.when(F.col("data_type") == t, F.col("actual"))), F.lit(0)).alias(column_name(t)),
+            F.coalesce(F.max(F.when(F.col("data_type") == t, F.col("expected"))), F.lit(0)).alias(
+                "expected_" + column_name(t)
+            ),
+        )
+    ]
+    # at most one entry per data type
+    one = F.when(F.col("expected") > 0, F.struct("data_type", "seen", "reached"))
     wide = progress.groupBy("batch_key", "patient_id").agg(
-        *[
-            cell
-            for t in K.DEVICE_TYPES
-            for cell in (
-                F.coalesce(F.max(F.when(F.col("data_type") == t, F.col("actual"))), F.lit(0)).alias(column_name(t)),
-                F.coalesce(F.max(F.when(F.col("data_type") == t, F.col("expected"))), F.lit(0)).alias(
-                    "expected_" + column_name(t)
-                ),
-            )
-        ],
-        F.sum("actual").alias("total_files"),
-    )
-    return wide.join(done.drop("patient_id"), "batch_key", "left").withColumn(
+        *counts, F.sum("actual").alias("total_files"), F.collect_list(one).alias("_types")
+    )
+    if known_types == "frozen_on_first_arrival":
+        wide = wide.withColumn("completed_at", _closing_time("_types"))
+    else:
+        done = completion(progress, expected, known_types).drop("patient_id")
+        wide = wide.join(done, "batch_key", "left")
+    return wide.drop("_types").withColumn(
         "status", F.when(F.col("completed_at").isNull(), F.lit("processing")).otherwise(F.lit("complete"))
     )
 
@@ -152,23 +166,16 @@ def progress_text(progress: DataFrame) -> DataFrame:
 def first_complete(df: DataFrame, expected: DataFrame, known_types: str = "frozen_on_first_arrival") -> DataFrame:
     """Completed batches with the number of files there were at that moment."""
     done = completion(type_progress(df, expected), expected, known_types).where("completed_at is not null")
-    once = first_arrivals(df)
-    # full minutes before the moment are counted first; single arrivals only
-    # within its minute
-    slots = once.groupBy("batch_key", F.date_trunc("minute", "arrived_at").alias("slot")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    moment = F.date_trunc("minute", "completed_at")
-    full = slots.join(done, "batch_key").where(F.col("slot") < moment).select("batch_key", "n")
-    last = (
-        once.withColumn("slot", F.date_trunc("minute", "arrived_at"))
-        .join(done.select("batch_key", moment.alias("slot"), "completed_at"), ["batch_key", "slot"])
-        .groupBy("batch_key", "slot")
-        .agg(F.count_if(F.col("arrived_at") <= F.col("completed_at")).alias("n"))
-        .select("batch_key", "n")
+    # a batch with very many files is split by the adaptive skew join, and its
+    # files are counted before the second exchange
+    return (
+        first_arrivals(df)
+        .join(done.select("batch_key", "completed_at"), "batch_key")
+        .where(F.col("arrived_at") <= F.col("completed_at"))
+        .groupBy("batch_key", "patient_id", "completed_at")
+        .agg(F.count(F.lit(1)).alias("total_files"))
     )
-    total = full.unionByName(last).groupBy("batch_key").agg(F.sum("n").alias("total_files"))
-    return done.join(total, "batch_key")
+
 
 
 def outcomes(df: DataFrame, expected: DataFrame, row_id: str) -> DataFrame:

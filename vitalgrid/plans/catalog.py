@@ -124,14 +124,14 @@ def arrival_json(spark, sf_dir):
         F.lit('{"eventSource":"aws:s3","s3":{"bucket":{"name":"in"},"object":{"key":"'), key, F.lit('"}}}')
     )
     other = F.lit('{"eventSource":"aws:sns","s3":{"bucket":{"name":"no"},"object":{"key":"no"}}}')
-    bodies = F.array(
+    bodies = [
         F.concat(F.lit('{"Records":['), record, F.lit("]}")),
         F.concat(F.lit('{"Records":['), other, F.lit(","), record, F.lit("]}")),
         record,
         F.concat(F.lit('{"Records":['), other, F.lit("]}")),
         F.lit("{not json"),
-    )
-    df = df.withColumn("body", F.get(bodies, (F.col("k") % 5).cast("int")))
+    ]
+    df = df.withColumn("body", S.one_of(bodies))
     return A.parse_messages(df).select("event_id", "bucket", "object_key")
 
 

@@ -33,6 +33,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def made(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later steps find ready, as if it had been read.
+
+    Without the generator the optimizer would put the making of the text into
+    every expression that uses it.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def acts_as() -> Column:
     kind = F.col("event_type")
     out = F.lit(None).cast("string")
@@ -86,7 +95,7 @@ def raw_of(df: DataFrame, event_type: str) -> DataFrame:
                   F.floor(F.col("value") * 1000).cast("bigint").alias("durationInMs"),
                   F.lit(0).alias("timezoneOffsetInMs")],
     }[event_type]
-    return df.select(*cells, *trace)
+    return made(df.select(*cells, *trace), "source_file", F.col("source_file"))
 
 
 def prepared_frames(spark: SparkSession, sf_dir: str, grain: str) -> dict[str, DataFrame]:
@@ -119,6 +128,14 @@ def bbi_rows(spark: SparkSession, sf_dir: str, native: bool) -> DataFrame:
     )
 
 
+def one_of(choices: list[Column]) -> Column:
+    """A choice per row by ``k``; only the chosen one is computed."""
+    out = choices[-1]
+    for i in reversed(range(len(choices) - 1)):
+        out = F.when(F.col("k") % len(choices) == i, choices[i]).otherwise(out)
+    return out
+
+
 def iso_texts(df: DataFrame) -> DataFrame:
     """Add ``text``: the event's time in six spellings, one of them broken."""
     f = lambda p: F.date_format("at", p)
@@ -130,7 +147,7 @@ def iso_texts(df: DataFrame) -> DataFrame:
         F.concat(F.lit("bad-"), f("yyyy-MM-dd")),
         f("yyyy-MM-dd"),
     ]
-    return df.withColumn("text", F.get(F.array(*spellings), (F.col("k") % 6).cast("int")))
+    return made(df, "text", one_of(spellings))
 
 
 def mixed_paths(df: DataFrame) -> DataFrame:
@@ -145,7 +162,7 @@ def mixed_paths(df: DataFrame) -> DataFrame:
         F.concat(head, F.lit(K.PULSE_OX), F.lit("/"), name, F.lit(".v1.csv")),
         F.concat(F.lit("error_logs/"), name, F.lit(".txt")),
     ]
-    return df.withColumn("path", F.get(F.array(*kinds), (F.col("k") % 6).cast("int")))
+    return made(df, "path", one_of(kinds))
 
 
 def device_lines(df: DataFrame, header: str, cells: list[str]) -> DataFrame:
@@ -218,24 +235,19 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     one_day = F.timestamp_micros(
         F.lit(1_706_745_600_000_000) + F.floor((F.unix_micros("at") - 1_704_067_200_000_000) / 31)
     )
-    sent = events(spark, sf_dir).where("value < 300").select(
-        "event_id", F.lit(0).alias("again"), "k",
-        F.concat("patient_id", F.lit("/"), acts_as(), F.lit("/f"), F.col("event_id").cast("string"), F.lit(".csv"))
-        .alias("object_key"),
-        one_day.alias("arrived_at"),
-    )
-    again = sent.where("k >= 50").withColumn("again", F.lit(1)).withColumn(
-        "arrived_at", F.col("arrived_at") + F.expr("interval 10 minutes")
-    )
-    return sent.unionByName(again).select(
-        (F.col("event_id") * 2 + F.col("again")).alias("arrival_id"), "object_key", "arrived_at"
+    sent = events(spark, sf_dir).where("value < 300")
+    key = F.concat("patient_id", F.lit("/"), acts_as(), F.lit("/f"), F.col("event_id").cast("string"), F.lit(".csv"))
+    sent = made(sent.withColumn("arrived_at", one_day), "object_key", key)
+    sendings = F.when(F.col("k") >= 50, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return sent.withColumn("again", F.explode(sendings)).select(
+        (F.col("event_id") * 2 + F.col("again")).alias("arrival_id"),
+        "object_key",
+        (F.col("arrived_at") + F.make_dt_interval(mins=F.col("again") * 10)).alias("arrived_at"),
     )
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source listing: it lacks files below 1, which arrive all the same."""
-    return events(spark, sf_dir).where("value >= 1").select(
-        F.concat("patient_id", F.lit("/"), acts_as(), F.lit("/f"), F.col("event_id").cast("string"), F.lit(".csv"))
-        .alias("path"),
-        F.floor("value").cast("bigint").alias("size"),
-    )
+    listed = events(spark, sf_dir).where("value >= 1")
+    key = F.concat("patient_id", F.lit("/"), acts_as(), F.lit("/f"), F.col("event_id").cast("string"), F.lit(".csv"))
+    return made(listed, "path", key).select("path", F.floor("value").cast("bigint").alias("size"))
