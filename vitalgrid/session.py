@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
@@ -55,3 +56,28 @@ def shared_folder(spark: SparkSession) -> str:
     folder = os.path.join(tempfile.gettempdir(), f"vitalgrid-{os.getpid()}")
     os.makedirs(folder, exist_ok=True)
     return folder
+
+
+def settle(df: DataFrame, *by: str) -> DataFrame:
+    """Write a result to the shared folder and go on from the written table.
+
+    For results that several later plans use: they are computed once, and a
+    lost executor costs a read instead of a recomputation.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*by) if by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, per_task: int = 200 << 20) -> int:
+    """Shuffle partitions for an input size: about 200 MB a task.
+
+    A fixed number is either too small for 100 TB (tasks that spill) or too
+    large for a test. Adaptive execution still merges small ones.
+    """
+    least = spark.sparkContext.defaultParallelism
+    partitions = max(least, min(200_000, -(-input_bytes // per_task)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from vitalgrid import constants as K
 from vitalgrid.operators import tracker
 
 COMPLETED = "batch_key string, patient_id string, completed_at timestamp, total_files long"
+KEEP_STATE_MS = 3 * 86_400_000
 _STATE = "actual array<long>, expected array<long>, done boolean"
 
 
@@ -34,32 +36,56 @@ def with_expected(stream: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def _advance(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Apply one batch's arrivals of a trigger in time order."""
-    if state.exists:
-        actual, expected, done = state.get
-        actual, expected = list(actual), list(expected)
-    else:
-        actual, expected, done = [0] * len(K.DEVICE_TYPES), [0] * len(K.DEVICE_TYPES), False
+    """Apply one batch's arrivals of a trigger in time order.
+
+    Each Arrow chunk is reduced at once to a time, a type number and the
+    expected number, about a dozen bytes per arrival.
+    """
     if state.hasTimedOut:
         state.remove()
         return
+    n = len(K.DEVICE_TYPES)
+    actual, expected, done = ([0] * n, [0] * n, False)
+    if state.exists:
+        actual, expected, done = state.get
     place = {t: i for i, t in enumerate(K.DEVICE_TYPES)}
-    fresh = pd.concat(list(pdfs)).sort_values("arrived_at", kind="stable")
-    out = []
-    for at, together in fresh.groupby("arrived_at", sort=True):
-        for t, want in zip(together["data_type"], together["expected"]):
-            i = place[t]
-            if expected[i] == 0:
-                expected[i] = int(want)
-            actual[i] += 1
-        counted = [i for i in range(len(expected)) if expected[i] > 0]
-        if not done and counted and all(actual[i] >= expected[i] for i in counted):
-            done = True
-            out.append((key[0], key[1], at, sum(actual)))
-    state.update((actual, expected, done))
-    state.setTimeoutTimestamp(int(fresh["arrived_at"].max().timestamp() * 1000) + 3 * 86_400_000)
-    if out:
-        yield pd.DataFrame(out, columns=["batch_key", "patient_id", "completed_at", "total_files"])
+    chunks = [
+        (
+            p["arrived_at"].to_numpy("datetime64[us]"),
+            p["data_type"].map(place).to_numpy("int8"),
+            p["expected"].to_numpy("int64"),
+        )
+        for p in pdfs
+    ]
+    at, kind, want = (np.concatenate(c) for c in zip(*chunks))
+    order = np.argsort(at, kind="stable")
+    at, kind, want = at[order], kind[order], want[order]
+
+    complete, counted = np.ones(len(at), bool), np.zeros(len(at), bool)
+    after, fixed = [], []
+    for i in range(n):
+        mine = kind == i
+        running = actual[i] + np.cumsum(mine)
+        limit, since = expected[i], 0
+        if limit == 0:
+            named = np.flatnonzero(mine & (want > 0))
+            limit, since = (int(want[named[0]]), int(named[0])) if len(named) else (0, len(at))
+        counts = np.arange(len(at)) >= since
+        counted |= counts
+        complete &= ~counts | (running >= limit)
+        after.append(int(running[-1]))
+        fixed.append(limit)
+    last_of_time = np.append(at[1:] != at[:-1], True)
+    closed = np.flatnonzero(complete & counted & last_of_time)
+    state.update((after, fixed, bool(done or len(closed))))
+    newest = int(at[-1].astype("datetime64[ms]").astype("int64"))
+    state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + KEEP_STATE_MS)
+    if len(closed) and not done:
+        first = int(closed[0])
+        yield pd.DataFrame(
+            {"batch_key": [key[0]], "patient_id": [key[1]], "completed_at": [pd.Timestamp(at[first])],
+             "total_files": [sum(actual) + first + 1]}
+        )
 
 
 def completions(arrivals: DataFrame) -> DataFrame:
