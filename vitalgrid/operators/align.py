@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from vitalgrid import constants as K
 from vitalgrid.functions import clock, numbers, paths
 from vitalgrid.operators import columns, spread
+from vitalgrid.session import settle
 
 KEYS = ["participant_id", "timestamp"]
 Frames = Mapping[str, "DataFrame | Sequence[DataFrame] | None"]
@@ -163,10 +164,12 @@ def align_rows(
         hot = keyed.groupBy(*KEYS).agg(
             *[F.count_if(F.col("kind") == i).alias(f"n{i}") for i in kinds]
         ).where(F.greatest(*[F.col(f"n{i}") for i in kinds]) > crowded)
-        if found["hot"] <= MOST_BROADCAST:
-            hot = F.broadcast(hot)  # size checked above
-        calm = keyed.join(hot.select(*KEYS), KEYS, "left_anti")
-        parts.append(_multiply(hot, keyed.join(hot, KEYS), prepared, crowded))
+        hot = settle(hot)
+        # broadcast only after the check of its size
+        near = F.broadcast(hot) if found["hot"] <= MOST_BROADCAST else hot
+        calm = keyed.join(near.select(*KEYS), KEYS, "left_anti")
+        crowd = settle(keyed.join(near, KEYS), "kind")
+        parts.append(_multiply(hot, crowd, prepared, crowded))
     if found["loose"]:
         parts.append(_without_key(stacked))
     return reduce(DataFrame.unionByName, parts, _gather(calm, prepared))

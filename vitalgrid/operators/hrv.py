@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions import clock, numbers, paths
 from vitalgrid.operators import columns, spread
+from vitalgrid.session import settle
 
 _CONSUMED = (
     "bbi", "bbi_diff", "bbi_diff_squared", "prev_bbi", "diff", "window_5min",
@@ -106,7 +107,9 @@ def merge_folders(summaries: DataFrame, today: str) -> DataFrame:
 
     ``merged_file_{latest date}``; ``today`` is used where no date is known.
     """
-    df = summaries.withColumn("folder", paths.folder(F.col("source_file")))
+    # one row per file, used for the names and for the rows: kept, because
+    # making it again would read all intervals again
+    df = settle(summaries.withColumn("folder", paths.folder(F.col("source_file"))))
     iso = columns.find_iso_date(df.columns)
     if iso is None:
         latest = F.lit(today)
