@@ -37,26 +37,6 @@ def find_iso_date(columns: Iterable[str]) -> str | None:
     return next((c for c in columns if c.lower() in ("isodate", "iso_date")), None)
 
 
-def first_header_match(header: Column, exact: str, any_of: Sequence[str] = ()) -> Column:
-    """The same choice for headers held as data: 1-based index, 0 for none."""
-    def fits(name: Column) -> Column:
-        low = F.lower(name)
-        test = F.lit(False)
-        for term in any_of:
-            test = test | low.contains(term)
-        return test
-
-    at = F.array_position(header, exact)
-    if not any_of:
-        return at
-    hit = F.get(F.filter(header, fits), F.lit(0))
-    return F.when(at > 0, at).otherwise(F.coalesce(F.array_position(header, hit), F.lit(0)))
-
-
-def put_first(df: DataFrame, name: str) -> DataFrame:
-    return df.select(name, *[c for c in df.columns if c != name])
-
-
 def insert_after(df: DataFrame, anchor: str, name: str, value: Column) -> DataFrame:
     """Add a column right behind another one."""
     out: list[Column | str] = []

@@ -555,7 +555,8 @@ def _stream_arrivals(spark, sf_dir):
 
 def _drained(spark, stream) -> DataFrame:
     home = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    batches.drain_to_table(stream, f"{home}/table", f"{home}/checkpoint")
+    tasks = spark.sparkContext.defaultParallelism
+    batches.drain_to_table(stream, f"{home}/table", f"{home}/checkpoint", state_partitions=tasks)
     return spark.read.schema(stream.schema).parquet(f"{home}/table")
 
 

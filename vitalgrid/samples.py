@@ -185,9 +185,6 @@ def quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
-SURVEY_TEXT = "a conversation's text is an answer; its turn gives the time"
-
-
 def survey_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as questionnaire files; answers may run over lines."""
     talk = table(spark, sf_dir, "conversations")

@@ -103,13 +103,24 @@ def read_arrivals(spark: SparkSession, path: str, schema, glob: str | None = Non
     return reader.parquet(path)
 
 
-def drain_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Run over all there is and write it to a table, exactly once."""
-    query = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+def drain_to_table(stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> None:
+    """Run over all there is and write it to a table, exactly once.
+
+    The number of state partitions is fixed by a stream's first run, so it is
+    chosen here for the stream and not taken over from batch settings.
+    """
+    conf, name = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(name)
+    if state_partitions:
+        conf.set(name, str(state_partitions))
+    try:
+        query = (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+    finally:
+        conf.set(name, before)
     query.awaitTermination()
 
 
