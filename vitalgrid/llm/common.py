@@ -28,3 +28,10 @@ def split_words(text: Column, gap: str = SPACE) -> Column:
 def doc_crc(doc_id: Column) -> Column:
     """crc32 of an id written as text; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary"))
+
+
+def tokenizer_file(name: str) -> str:
+    """Where the installed package of public tokenizers keeps a file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import chat, divergence, licenses, urls
-from vitalgrid.llm.common import table
+from vitalgrid.llm import bpe, chat, divergence, licenses, packing, urls
+from vitalgrid.llm.common import table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,12 +53,30 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id"""
 
 
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 @query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diagonal voting over all documents."""
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@query
+def op4_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by fragments and decoded again."""
+    made = bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return made.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and the character model ratio over all pages."""
