@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bpe, chat, divergence, licenses, packing, urls
-from vitalgrid.llm.common import table, tokenizer_file
+from vitalgrid.llm import bpe, chat, divergence, languages, licenses, packing, quality, urls
+from vitalgrid.llm.common import doc_crc, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -77,6 +77,23 @@ def op4_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learned from four of five folds of the labels."""
+    made = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return made.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two of three folds."""
+    fold = F.pmod(doc_crc(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    known = languages.learn(docs.where(fold != 1))
+    made = languages.identify(docs.select("doc_id", (fold == 1).alias("held_out"), "text"), known)
+    return made.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and the character model ratio over all pages."""
