@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bpe, chat, divergence, languages, licenses, packing, quality, urls
+from vitalgrid.llm import bpe, chat, divergence, languages, licenses, packing, quality, topk, urls
 from vitalgrid.llm.common import doc_crc, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,24 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other rows of every fiftieth embedding."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op7_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_sum(list_transform(list_zip(q.e, x.e), lambda p: p[1] * p[2])) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+WHERE rank <= 5"""
+
+
 @query
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and the character model ratio over all pages."""
