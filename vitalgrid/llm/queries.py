@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bpe, chat, divergence, languages, licenses, packing, quality, topk, urls
+from vitalgrid.llm import bpe, chat, divergence, jaccard, languages, licenses, packing, quality, topk, urls
 from vitalgrid.llm.common import doc_crc, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +112,12 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, CAST(score AS BIGINT) AS sco
 WHERE rank <= 5"""
 
 
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose three-word shingles agree to nine tenths."""
+    return jaccard.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and the character model ratio over all pages."""
