@@ -109,15 +109,15 @@ def distance(counts: Column, total: Column, share: list[float]) -> Column:
     return F.sqrt(F.greatest(zero, F.aggregate(parts, zero, lambda a, x: a + x) / 2))
 
 
-def _word_distance(listed: tuple[str, ...], share: list[float]) -> Column:
-    """Distance of the listed words among ``_common``, and all others, to a language's shares."""
+def _word_distance(common: Column, n_words: Column, listed: tuple[str, ...], share: list[float]) -> Column:
+    """Distance of the listed words, and all others, to a language's shares."""
 
     def count(word: str) -> Column:
-        return F.size(F.filter("_common", lambda x: x == word)).cast("double")
+        return F.size(F.filter(common, lambda x: x == word)).cast("double")
 
     def with_rest(counts: Column) -> Column:
-        rest = F.size("_words") - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-        return distance(F.concat(counts, F.array(rest)), F.size("_words").cast("double"), share)
+        rest = n_words - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+        return distance(F.concat(counts, F.array(rest)), n_words.cast("double"), share)
 
     return let(F.array(*[count(w) for w in listed]), with_rest)
 
@@ -165,30 +165,34 @@ def judge(docs: DataFrame, rules: Rules | None = None, text: str = "text", lang:
     keep = [c for c in docs.columns if c.lower() not in {*added, "base_failed", "kept"}]
     reference = references(docs, rules, text, lang)
     df = docs.select(F.struct(*keep).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    df = _class_counts(df, "_text").withColumn("_words", split_words(F.col("_text")))
-    words, listed = F.col("_words"), _listed(rules)
-    lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    df = df.select(
-        "_row", "_chars", "_classes", "_words", "_rest",
-        F.filter(words, lambda w: w.isin(listed)).alias("_common"),
-        lines.alias("_lines"),
-    )
+    df = _class_counts(df, "_text")
     char_to = [distance(F.col("_classes"), F.col("_chars").cast("double"), r["chars"]) for r in reference.values()]
-    word_to = [_word_distance(rules.words[code], r["words"]) for code, r in reference.items()]
 
     def closest(found: list[Column], enough: Column) -> Column:
         return F.when(enough, F.least(*found) if len(found) > 1 else found[0]) if found else F.lit(None).cast("double")
 
-    df = df.select(
-        "_row",
-        F.size("_words").cast("long").alias("n_words"),
-        (F.col("_chars") - F.col("_classes")[1].cast("long")).cast("long").alias("word_chars"),
-        (F.length("_rest") - F.length(F.regexp_replace("_rest", "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("_words"), rules.window).cast("long").alias("n_repeat_words"),
-        closest(char_to, F.col("_chars") >= rules.least_chars).alias("char_distance"),
-        closest(word_to, F.size("_words") >= rules.least_words).alias("word_distance"),
-    )
+    def word_distance(words: Column) -> Column:
+        listed = F.filter(words, lambda w: w.isin(_listed(rules)))
+        found = lambda c: closest(
+            [_word_distance(c, F.size(words), rules.words[code], r["words"]) for code, r in reference.items()],
+            F.size(words) >= rules.least_words,
+        )
+        return let(listed, found)
+
+    def measures(words: Column) -> Column:
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            (F.col("_chars") - F.col("_classes")[1].cast("long")).cast("long").alias("word_chars"),
+            (F.length("_rest") - F.length(F.regexp_replace("_rest", "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
+            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            repeated_words(words, rules.window).cast("long").alias("n_repeat_words"),
+            closest(char_to, F.col("_chars") >= rules.least_chars).alias("char_distance"),
+            word_distance(words).alias("word_distance"),
+        )
+
+    lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    # as a generator, so that a later filter on the measures does not compute them a second time
+    df = df.select("_row", F.inline(F.array(let(split_words(F.col("_text")), measures))))
     failed = (F.col("n_words") < rules.base_words) | (100 * F.col("n_repeat_words") > rules.repeat_percent * F.col("n_words"))
     near = (F.coalesce("char_distance", F.lit(0.0)) <= rules.most_char_distance) & (
         F.coalesce("word_distance", F.lit(0.0)) <= rules.most_word_distance

@@ -186,8 +186,8 @@ def may_differ(n: np.ndarray, m, percent: int) -> np.ndarray:
 
 
 def row_key(doc_id: str, text: str):
-    """Tells rows apart where an id may be null."""
-    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.col(text)))
+    """Tells rows apart where an id may be null or repeated."""
+    return F.xxhash64(F.col(doc_id).cast("string"), F.lit("|"), F.col(text))
 
 
 def sketch(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
@@ -244,10 +244,13 @@ def fetch_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, join: Join,
     """(node, places, n, elements, bits) of the wanted nodes, each read from one of its rows, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             out = []
             for node, body in zip(batch.column(0).to_pylist(), batch.column(2)):
-                own = shingles(body.as_py(), join.gram)
+                again = node in seen
+                seen.add(node)
+                own = shingles(None if again else body.as_py(), join.gram)
                 right = len(own) > 0 and node_of(own) == node
                 out.append((len(own), own.tobytes() if right else None, bitmap(own).tobytes() if right else None))
             columns = [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))]
@@ -401,3 +404,15 @@ def link(docs: DataFrame, join: Join | None = None, doc_id: str = "doc_id", text
         F.col("id").alias(doc_id), "rk", F.col("n").alias("n_shingles"),
         F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"), "label",
     )
+
+
+def deduplicate(docs: DataFrame, join: Join | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one row of each component: that of the smallest id. Rows without n-grams stay."""
+    linked_rows = link(docs, join, doc_id, text)
+    first = F.min(F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), F.col("rk").alias("rk")))
+    one = linked_rows.where("label IS NOT NULL").groupBy("label").agg(first["rk"].alias("_rk")).select("_rk", F.lit(False).alias("_all"))
+    bare = linked_rows.where("label IS NULL").select(F.col("rk").alias("_rk"), F.lit(True).alias("_all"))
+    keep = one.union(bare).groupBy("_rk").agg(F.max("_all").alias("_all"))
+    rows = docs.select(F.struct("*").alias("_row"), row_key(doc_id, text).alias("_rk")).join(keep, "_rk")
+    rows = rows.withColumn("_n", F.expr("row_number() OVER (PARTITION BY _rk ORDER BY _rk)"))
+    return rows.where("_all OR _n = 1").select("_row.*")

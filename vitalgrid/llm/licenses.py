@@ -111,15 +111,17 @@ def _grams(words: Column, k: int) -> Column:
 def _places(words: Column, clean: Column, phrase: str) -> Column:
     """0-based starts of a phrase; the rows without it skip the search."""
     parts = phrase.split(" ")
-    starts = F.sequence(F.lit(0), F.size(words) - len(parts))
 
-    def fits(i: Column) -> Column:
-        found = F.get(words, i) == parts[0]
-        for j, part in enumerate(parts[1:], 1):
-            found = found & (F.get(words, i + j) == part)
-        return found
+    def search(words: Column) -> Column:
+        def fits(i: Column) -> Column:
+            found = F.get(words, i) == parts[0]
+            for j, part in enumerate(parts[1:], 1):
+                found = found & (F.get(words, i + j) == part)
+            return found
 
-    return F.when(F.contains(clean, F.lit(f" {phrase} ")), F.filter(starts, fits)).otherwise(F.array().cast("array<int>"))
+        return F.filter(F.sequence(F.lit(0), F.size(words) - len(parts)), fits)
+
+    return F.when(F.contains(clean, F.lit(f" {phrase} ")), let(words, search)).otherwise(F.array().cast("array<int>"))
 
 
 def _template_grams(docs: DataFrame, scan: Scan) -> DataFrame:
