@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bpe, chat, divergence, jaccard, languages, licenses, packing, quality, topk, urls
+from vitalgrid.llm import bpe, chat, divergence, jaccard, languages, licenses, oracle, packing, quality, topk, urls
 from vitalgrid.llm.common import doc_crc, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "char_distance", "word_distance",
     )
+
+
+ORACLE["op10_quality_rules"] = oracle.quality_rules(divergence.Rules())
+ORACLE["op8_ngram_jaccard_join"] = oracle.JACCARD
