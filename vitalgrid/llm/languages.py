@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -163,12 +164,13 @@ def identify(docs: DataFrame, known: Filter, text: str = "text", *, predicted: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [judge(body.as_py()) for body in batch.column(batch.num_columns - 1)]
+            found = [judge(body.as_py()) for body in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([f for f, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                [*keep, predicted, score],
+                [batch.column(0), pa.array([f for f, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
+                ["row", "predicted", "score"],
             )
 
     keep = [c for c in docs.columns if c.lower() not in (predicted.lower(), score.lower())]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", " * bool(keep)
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, f"{schema}`{predicted}` string, `{score}` double")
+    rows = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
+    made = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("predicted", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return made.select("row.*", F.col("predicted").alias(predicted), F.col("score").alias(score))
