@@ -42,15 +42,23 @@ def test_row_index_is_dense(spark, chunk):
 @pytest.mark.parametrize("chunk", [1, 4, 1000])
 def test_join_per_file_keeps_every_row(spark, chunk):
     rows = spark.createDataFrame([("a", n) for n in range(11)] + [("b", 0)], "f string, no bigint")
-    facts = spark.createDataFrame([("a", 10, "x"), ("b", 0, "y"), ("c", 3, "z")], "f string, last bigint, v string")
-    got = spread.join_per_file(rows, facts, "f", "no", "last", chunk).collect()
+    own = spark.createDataFrame([("a", "x"), ("b", "y")], "f string, v string")
+    facts = rows.groupBy("f").agg(spread.lanes("no", chunk).alias("lanes")).join(own, "f")
+    got = spread.join_per_file(rows, facts, "f", "no", "lanes", chunk).collect()
     assert sorted((r["f"], r["no"], r["v"]) for r in got) == [("a", n, "x") for n in range(11)] + [("b", 0, "y")]
 
 
-def test_heavy_keys_are_bounded(spark):
-    df = spark.createDataFrame([(k % 7,) for k in range(200)] + [(99,)] * 50, "k int")
-    got = spread.heavy_keys(df, ["k"], heavy_rows=20, most=3).collect()
-    assert len(got) == 3 and got[0]["k"] == 99
+def test_heavy_keys_are_all_listed(spark):
+    df = spark.createDataFrame([(k % 7,) for k in range(200)] + [(99,)] * 50 + [(98,)] * 20, "k int")
+    got = {r["k"]: r["_n"] for r in spread.heavy_keys(df, ["k"], heavy_rows=20).collect()}
+    assert set(got) == {*range(7), 99} and got[99] == 50
+
+
+def test_facts_are_repeated_for_lanes_that_occur_only(spark):
+    rows = spark.createDataFrame([("a", 10**9), ("b", 5), ("b", 6)], "f string, no bigint")
+    facts = rows.groupBy("f").agg(spread.lanes("no").alias("lanes"))
+    assert facts.select(F.explode("lanes")).count() == 2
+    assert spread.join_per_file(rows, facts, "f", "no", "lanes").count() == 3
 
 
 @pytest.mark.parametrize("times", [0, 1, 4095, 4096, 4097, 10_000])

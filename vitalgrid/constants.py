@@ -25,6 +25,8 @@ RESERVED_FOLDERS = ("initial_append", "error_logs")
 
 PREAMBLE_LINES = 6
 SURVEY_HEADER_START = "timezone"
+# Columns by which a header line is known.
+TIME_COLUMNS = ("timezone", "isoDate", "unixTimestampInMs", "beatsPerMinute", "Timestamp")
 BBI_HEADER_MARK = "timezone,unixTimestampInMs"
 BBI_ZONE_MARK = "America/New_York"
 

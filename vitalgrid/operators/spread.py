@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 CHUNK_ROWS = 1 << 18
 HEAVY_ROWS = 1 << 20
-MOST_HEAVY = 50_000
+LANES = 64
 _LOWEST = -(1 << 63)
 
 
@@ -25,28 +25,32 @@ def chunk_of(position: str | Column, rows: int = CHUNK_ROWS) -> Column:
     return F.floor(position / F.lit(rows)).cast("bigint")
 
 
+def lane_of(position: str | Column, rows: int = CHUNK_ROWS) -> Column:
+    """One of ``LANES`` numbers; neighbouring chunks of a file have different ones."""
+    return F.pmod(chunk_of(position, rows), F.lit(LANES))
+
+
+def lanes(position: str | Column, rows: int = CHUNK_ROWS) -> Column:
+    """Aggregate: the lanes a file's rows really are in, at most ``LANES``."""
+    return F.collect_set(lane_of(position, rows))
+
+
 def join_per_file(
     rows: DataFrame,
     facts: DataFrame,
     key: str,
     position: str,
-    last_position: str,
+    lanes_of: str,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Join one row of facts per file to all rows of the file (inner).
 
-    ``facts`` carries the file's last position. Its row is repeated once per
-    chunk of the file, so the join key is (file, chunk): no key has more than
-    ``chunk_rows`` rows, and small files are not repeated at all.
+    ``facts`` carries the ``lanes`` of the file's rows. Its row is repeated
+    once for each, so the join key is (file, lane): a large file is spread over
+    many keys, and a small one is not repeated, whatever its line numbers are.
     """
-    per_chunk = facts.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), chunk_of(last_position, chunk_rows)))
-    ).drop(last_position)
-    return (
-        rows.withColumn("_chunk", chunk_of(position, chunk_rows))
-        .join(per_chunk, [key, "_chunk"])
-        .drop("_chunk")
-    )
+    per_lane = facts.withColumn("_lane", F.explode(lanes_of)).drop(lanes_of)
+    return rows.withColumn("_lane", lane_of(position, chunk_rows)).join(per_lane, [key, "_lane"]).drop("_lane")
 
 
 def with_row_index(
@@ -72,23 +76,12 @@ def with_row_index(
     )
 
 
-def heavy_keys(
-    rows: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS, most: int = MOST_HEAVY
-) -> DataFrame:
-    """The largest keys with their row numbers ``_n``, at most ``most`` of them.
+def heavy_keys(rows: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """All keys with more than ``heavy_rows`` rows, and their numbers ``_n``.
 
-    This only steers how work is split; nothing is left out of a result. The
-    size is bounded whatever the data: a key that is not listed has at most
-    ``max(heavy_rows, total / most)`` rows, because ``most`` larger ones would
-    already exceed the total.
+    There is less than one such key for each ``heavy_rows`` rows of the input.
     """
-    return (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > heavy_rows)
-        .orderBy(F.col("_n").desc())
-        .limit(most)
-    )
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy_rows)
 
 
 def _mark(rows: DataFrame, listed: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -97,8 +90,7 @@ def _mark(rows: DataFrame, listed: DataFrame, keys: Sequence[str], name: str) ->
     same = reduce(
         lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in keys]
     )
-    # broadcast: at most MOST_HEAVY rows by construction (see heavy_keys)
-    return rows.join(F.broadcast(side), same, "left").drop(*[f"_h_{c}" for c in keys])
+    return rows.join(side, same, "left").drop(*[f"_h_{c}" for c in keys])
 
 
 def _cells(

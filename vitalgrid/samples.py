@@ -198,7 +198,7 @@ def survey_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("source_file", F.col("p").cast("bigint").alias("line_no"), "line")
     record = F.concat_ws(",", F.lit("UTC"), F.lit("1"), survey_iso(), F.col("role"), quoted(F.col("text")))
     body = talk.select(path, "turn", F.posexplode(F.split(record, "\n")).alias("p", "line")).select(
-        "source_file", (F.lit(100) + F.col("turn") * 100_000 + F.col("p")).alias("line_no"), "line"
+        "source_file", (F.lit(100) + F.col("turn") * (1 << 31) + F.col("p")).alias("line_no"), "line"
     )
     return opening.unionByName(body)
 

@@ -33,8 +33,8 @@ def text_table(lines: DataFrame, names: Sequence[str] | None = None, keep_empty:
     if not keep_empty:
         return rows
     # empty and absent differ: an absent column is null for the whole file
-    own = L.with_fields(facts, F.col("header"), width, "_own").select("source_file", "last_no", "_own")
-    joined = spread.join_per_file(rows, own, "source_file", "line_no", "last_no")
+    own = L.with_fields(facts, F.col("header"), width, "_own").select("source_file", "lanes", "_own")
+    joined = spread.join_per_file(rows, own, "source_file", "line_no", "lanes")
     cells = [
         F.when(F.col(n).isNull() & F.array_contains("_own", n), F.lit("")).otherwise(F.col(n)).alias(n) for n in names
     ]
