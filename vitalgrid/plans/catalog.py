@@ -188,16 +188,23 @@ def parse_single_column(spark, sf_dir):
 
 @query
 def decode_cascade(spark, sf_dir):
-    """Every other document as latin-1 bytes, all decoded again."""
+    """Documents as UTF-8, windows-1252 and latin-1 bytes by turns, all decoded again.
+
+    The second kind ends with bytes that only windows-1252 has a letter for,
+    the third with one that it has none for.
+    """
     docs = S.table(spark, sf_dir, "documents")
-    text = F.regexp_replace("text", r"[^\x09\x0a\x20-\x7e\xa0-\xff]", "?")
+    plain = F.regexp_replace("text", r"[^\x09\x0a\x20-\x7e\xa0-\xff]", "?")
+    kind = F.col("doc_id") % 3
+    ends = F.when(kind == 1, F.lit(" \x80\x93x\x94")).otherwise(F.lit(" \x81"))
+    text = F.when(kind == 0, F.col("text")).otherwise(F.concat(plain, ends))
     # \n is one byte in both encodings, so lines are cut after encoding
     lines = docs.select(
         F.col("doc_id").cast("string").alias("source_file"), F.posexplode(F.split(text, "\n")).alias("p", "part"),
         "doc_id",
     ).select(
         "source_file", F.col("p").cast("bigint").alias("line_no"),
-        F.when(F.col("doc_id") % 2 == 0, F.col("part"))
+        F.when(kind == 0, F.col("part"))
         .otherwise(F.encode("part", "ISO-8859-1").cast("string")).alias("line"),
     )
     out = L.decode_lines(lines)
@@ -372,14 +379,22 @@ def align_cleaned(spark, sf_dir):
             K.HEART_RATE: cleaners.clean_heart_rate(S.raw(spark, sf_dir, "click")),
             K.SLEEP: sleep.clean_sleep(S.raw(spark, sf_dir, "error"), NOW_MS),
             K.STEP: cleaners.clean_step(S.raw(spark, sf_dir, "view")),
+            K.RESPIRATION: cleaners.clean_other(S.raw(spark, sf_dir, "signup")),
+            K.STRESS: cleaners.clean_other(S.raw(spark, sf_dir, "purchase")),
         }
     )
 
 
+@query
+def align_files(spark, sf_dir):
+    """Files of all types, as their lines, to the aligned table: headers of two forms, quoted fields."""
+    rows, _ = device.run(S.device_files(spark, sf_dir), NOW_MS)
+    return rows
+
+
 @query
 def merged_names(spark, sf_dir):
-    frames = S.prepared_frames(spark, sf_dir, "hour")
-    return align.merged_names(align.aligned({K.STEP: frames[K.STEP]}), TODAY)
+    return align.merged_names(align.aligned(S.prepared_frames(spark, sf_dir, "hour")), TODAY)
 
 
 # --- intervals --------------------------------------------------------------
@@ -454,14 +469,14 @@ def survey_preamble(spark, sf_dir):
 
 @query
 def survey_merge(spark, sf_dir):
-    """Two sets with different columns, put together by name."""
+    """Three sets with different columns, put together by name."""
     asked = S.survey_rows(spark, sf_dir, "user").withColumn("mood", F.col("answer"))
-    return survey.merge([asked, S.survey_rows(spark, sf_dir, "assistant")])
+    return survey.merge([asked, S.survey_rows(spark, sf_dir, "assistant"), S.survey_rows(spark, sf_dir, "system")])
 
 
 @query
 def survey_upsert(spark, sf_dir):
-    """Users' answers are there already; all answers arrive."""
+    """The system's rows are there already; all rows arrive."""
     old = S.survey_rows(spark, sf_dir, "system")
     return survey.upsert(old, S.survey_rows(spark, sf_dir))
 
@@ -544,7 +559,7 @@ def _stream_arrivals(spark, sf_dir):
     k = F.get_json_object("props", "$.k").cast("bigint")
     sendings = F.when(k >= 50, F.array(F.lit(0), F.lit(10))).otherwise(F.array(F.lit(0)))
     return (
-        _stream(spark, sf_dir).where("value < 300")
+        _stream(spark, sf_dir)
         .select("event_id", key.alias("object_key"), one_day.alias("sent_at"), F.explode(sendings).alias("later"))
         .select(
             "object_key",

@@ -128,7 +128,9 @@ SELECT {_file("'garmin-device-bbi'")}, event_id * 2 + 1, CAST(ms AS VARCHAR) FRO
 
 ORACLE["decode_cascade"] = r"""
 SELECT doc_id, CAST(i - 1 AS BIGINT) AS line_no, parts[i] AS line
-FROM (SELECT doc_id, string_split(regexp_replace(text, '[^\x09\x0a\x20-\x7e\x{a0}-\x{ff}]', '?', 'g'), chr(10)) AS parts FROM documents) d,
+FROM (SELECT doc_id, string_split(CASE doc_id % 3 WHEN 0 THEN text ELSE
+    regexp_replace(text, '[^\x09\x0a\x20-\x7e\x{a0}-\x{ff}]', '?', 'g') || CASE doc_id % 3 WHEN 1 THEN ' €“x”' ELSE ' ' || chr(129) END
+  END, chr(10)) AS parts FROM documents) d,
      unnest(generate_series(1, len(parts))) AS u(i)"""
 
 ORACLE["manifest"] = _with(_PATHS) + """
@@ -143,7 +145,8 @@ ORACLE["bbi_paths"] = _with(_PATHS) + """
 SELECT DISTINCT path, CAST(floor(value) AS BIGINT) AS size FROM pth WHERE k % 6 = 3 AND floor(value) > 0"""
 
 ORACLE["expected_counts"] = _with() + """
-SELECT patient_id, kind AS data_type, count(*) AS expected FROM ev WHERE value >= 1 GROUP BY ALL"""
+SELECT patient_id, kind AS data_type, CAST(sum(CASE WHEN event_id % 97 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS expected
+FROM ev WHERE value >= 1 GROUP BY ALL"""
 
 # --- cleaners ---------------------------------------------------------------
 
@@ -318,14 +321,17 @@ ORACLE["align_latest"] = (
 _CLEANED = """r_hr AS (SELECT pid, minute AS t, ms AS e, CAST(floor(value) AS INTEGER) AS bpm FROM ev WHERE event_type = 'click'),
 r_st AS (SELECT DISTINCT pid, minute AS t, ms AS e, CAST(floor(value) AS INTEGER) AS steps, CAST(floor(value) AS INTEGER) * 10 AS total
   FROM ev WHERE event_type = 'view'),
-r_sl AS (SELECT participant_id AS pid, "Timestamp" AS t, "unixTimestampInMs" AS e, "durationInMs" AS dur, type AS typ FROM slept)"""
+r_sl AS (SELECT participant_id AS pid, "Timestamp" AS t, "unixTimestampInMs" AS e, "durationInMs" AS dur, type AS typ FROM slept),
+r_re AS (SELECT pid, minute AS t, ms AS e, CAST(floor(value) AS INTEGER) AS breaths FROM ev WHERE event_type = 'signup'),
+r_ss AS (SELECT pid, minute AS t, ms AS e, CAST(floor(value) AS INTEGER) AS stress FROM ev WHERE event_type = 'purchase')"""
 ORACLE["align_cleaned"] = (
-    _with(_sleep("floor(value * 1000)"), _SLEEP_ROWS, _CLEANED, _chain(["hr", "sl", "st"])) + _ALIGNED
+    _with(_sleep("floor(value * 1000)"), _SLEEP_ROWS, _CLEANED, _chain(_ALL)) + _ALIGNED
 )
+ORACLE["align_files"] = ORACLE["align_cleaned"]
 
-ORACLE["merged_names"] = _with() + """
-SELECT pid AS participant_id, 'merged_file_' || strftime(max(ts), '%Y%m%d') || '.csv' AS merged_file
-FROM ev WHERE event_type = 'view' GROUP BY 1"""
+ORACLE["merged_names"] = _with(_readings("hour"), _chain(_ALL)) + """
+SELECT pid AS participant_id, 'merged_file_' || strftime(make_timestamp(max(e) * 1000), '%Y%m%d') || '.csv' AS merged_file
+FROM merged GROUP BY 1"""
 
 # --- intervals --------------------------------------------------------------
 
@@ -399,11 +405,11 @@ SELECT DISTINCT source_file, lpad(hex(conv_id), 8, '0') AS patient_id FROM talk"
 _ROWS = f"""{_TALK},
 ans AS (
   SELECT 'S' || conv_id % 20 AS patient_folder, sday || 'T' || shour || ':30:15Z' AS "isoDate", role,
-    CAST(length(text) AS VARCHAR) AS answer
+    text AS answer
   FROM talk)"""
 
 ORACLE["survey_merge"] = f"""WITH {_ROWS}
-SELECT *, CASE WHEN role = 'user' THEN answer END AS mood FROM ans WHERE role IN ('user', 'assistant')"""
+SELECT *, CASE WHEN role = 'user' THEN answer END AS mood FROM ans"""
 
 ORACLE["survey_upsert"] = f"""WITH {_ROWS},
 old AS (SELECT DISTINCT patient_folder FROM ans WHERE role = 'system')
@@ -432,13 +438,14 @@ _KINDS = ["garmin-device-heart-rate", "garmin-connect-sleep-stage", "garmin-devi
 _SENT = """sent AS (
   SELECT event_id * 2 AS arrival_id, patient_id, kind, kind || '/f' || event_id || '.csv' AS file_id, k,
     make_timestamp(1706745600000000 + (epoch_us(ts) - 1704067200000000) // 31) AS arrived
-  FROM ev WHERE value < 300),
+  FROM ev),
 came AS (
   SELECT arrival_id, patient_id, kind, file_id, arrived, patient_id || '#' || strftime(arrived, '%Y-%m-%d') AS batch_key FROM sent
   UNION ALL
   SELECT arrival_id + 1, patient_id, kind, file_id, arrived + INTERVAL 10 MINUTE,
     patient_id || '#' || strftime(arrived + INTERVAL 10 MINUTE, '%Y-%m-%d') FROM sent WHERE k >= 50),
-want AS (SELECT patient_id, kind, count(*) AS expected FROM ev WHERE value >= 1 GROUP BY 1, 2),
+want AS (SELECT patient_id, kind, CAST(sum(CASE WHEN event_id % 97 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS expected
+  FROM ev WHERE value >= 1 GROUP BY 1, 2),
 once AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY batch_key, file_id ORDER BY arrived, arrival_id) AS rn FROM came) WHERE rn = 1)"""

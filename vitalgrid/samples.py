@@ -6,6 +6,8 @@ views are projections, so a plan on them grows with the table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,20 +221,19 @@ def survey_rows(spark: SparkSession, sf_dir: str, role: str | None = None) -> Da
         F.concat(F.lit("S"), (F.col("conv_id") % 20).cast("string")).alias("patient_folder"),
         survey_iso().alias("isoDate"),
         F.col("role"),
-        F.length("text").cast("string").alias("answer"),
+        F.col("text").alias("answer"),
     )
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File arrivals: every reading is a file of its patient's one busy day.
 
-    Files of 300 and more are still in transit; those with k from 50 on are
-    sent again ten minutes later.
+    Those with k from 50 on are sent again ten minutes later.
     """
     one_day = F.timestamp_micros(
         F.lit(1_706_745_600_000_000) + F.floor((F.unix_micros("at") - 1_704_067_200_000_000) / 31)
     )
-    sent = events(spark, sf_dir).where("value < 300")
+    sent = events(spark, sf_dir)
     key = F.concat("patient_id", F.lit("/"), acts_as(), F.lit("/f"), F.col("event_id").cast("string"), F.lit(".csv"))
     sent = made(sent.withColumn("arrived_at", one_day), "object_key", key)
     sendings = F.when(F.col("k") >= 50, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -244,7 +245,31 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The source listing: it lacks files below 1, which arrive all the same."""
+    """The source listing: without empty files (below 1), which arrive all the
+    same, and with one more file for every 97th that never arrives."""
     listed = events(spark, sf_dir).where("value >= 1")
-    key = F.concat("patient_id", F.lit("/"), acts_as(), F.lit("/f"), F.col("event_id").cast("string"), F.lit(".csv"))
-    return made(listed, "path", key).select("path", F.floor("value").cast("bigint").alias("size"))
+    key = F.concat("patient_id", F.lit("/"), acts_as(), F.lit("/f"), F.col("event_id").cast("string"))
+    lost = F.when(F.col("event_id") % 97 == 0, F.array(F.lit(".csv"), F.lit("_lost.csv"))).otherwise(F.array(F.lit(".csv")))
+    named = listed.withColumn("suffix", F.explode(lost))
+    return made(named, "path", F.concat(key, F.col("suffix"))).select("path", F.floor("value").cast("bigint").alias("size"))
+
+
+def device_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as the lines of their types' files.
+
+    Users with an odd number write heart-rate files in another form: quoted
+    names and values, another order of columns and another name of the metric.
+    """
+    all_events = events(spark, sf_dir)
+    parts = []
+    for event_type in ACTS_AS:
+        df = raw_of(all_events, event_type)
+        names = [c for c in df.columns if c not in ("source_file", "line_no")]
+        if event_type == "click":
+            odd = F.conv(F.substring(F.substring_index("source_file", "_", -1), 1, 8), 16, 10).cast("bigint") % 2 == 1
+            other = ["beatsPerMinute", *[c for c in names if c != "beatsPerMinute"]]
+            texts = df.where(odd).select("source_file", "line_no", *[quoted(F.col(c).cast("string")).alias(c) for c in other])
+            parts.append(device_lines(texts, '"heartRate",' + ",".join(f'"{c}"' for c in other[1:]), other))
+            df = df.where(~odd)
+        parts.append(device_lines(df, ",".join(names), names))
+    return reduce(DataFrame.unionByName, parts)
