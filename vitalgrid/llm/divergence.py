@@ -38,7 +38,7 @@ class Rules:
     words: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(FUNCTION_WORDS))
     #: Texts with fewer characters or words than these are not judged by the histogram.
     least_chars: int = 100
-    least_words: int = 50
+    least_words: int = 100
     #: Larger Jensen-Shannon distances reject.
     most_char_distance: float = 0.25
     most_word_distance: float = 0.25
