@@ -40,7 +40,7 @@ class Rules:
     least_chars: int = 100
     least_words: int = 100
     #: Larger Jensen-Shannon distances reject.
-    most_char_distance: float = 0.25
+    most_char_distance: float = 0.3
     most_word_distance: float = 0.25
     #: The base rule.
     base_words: int = 20
