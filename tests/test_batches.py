@@ -125,3 +125,33 @@ def test_survey_status_and_progress(spark):
         table = spark.createDataFrame([("p", K.QUESTIONNAIRE, want)], "patient_id string, data_type string, expected bigint")
         assert tracker.survey_status(came, table).first()["status"] == status
         assert tracker.progress_text(tracker.type_progress(came, table)).first()["progress"] == f"2/{want}"
+
+
+def test_late_arrivals_are_counted(spark, tmp_path):
+    import datetime as dt
+
+    t = K.DEVICE_TYPES[0]
+    table = spark.createDataFrame([("p", t, 2), ("q", t, 2)], "patient_id string, data_type string, expected bigint")
+
+    def arrive(number, patient, name, at):
+        one = spark.createDataFrame([(number, f"{patient}/{t}/{name}.csv", at)], SCHEMA)
+        one.coalesce(1).write.parquet(f"{tmp_path}/in/{number:04d}")
+        stream = batches.completions(batches.arrivals_of(batches.read_arrivals(spark, f"{tmp_path}/in/*", SCHEMA), table))
+        batches.drain_to_table(stream, f"{tmp_path}/out", f"{tmp_path}/cp", state_partitions=2)
+        return stream.schema
+
+    arrive(0, "p", "a", START)
+    arrive(1, "q", "a", START + dt.timedelta(days=30))  # far beyond every horizon
+    schema = arrive(2, "p", "b", START + dt.timedelta(minutes=1))
+    got = spark.read.schema(schema).parquet(f"{tmp_path}/out").collect()
+    assert [(r["patient_id"], r["total_files"]) for r in got] == [("p", 2)]
+
+
+def test_stream_of_forms(spark, tmp_path):
+    forms = [K.QUESTIONNAIRE]
+    df = spark.createDataFrame([(i, f"p/questionnaire/f{i % 3}.csv", START) for i in range(5)], SCHEMA)
+    df.write.parquet(f"{tmp_path}/in")
+    table = spark.createDataFrame([("p", K.QUESTIONNAIRE, 3)], "patient_id string, data_type string, expected bigint")
+    stream = batches.completions(batches.arrivals_of(batches.read_arrivals(spark, f"{tmp_path}/in", SCHEMA), table, types=forms), forms)
+    batches.drain_to_table(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert [r["total_files"] for r in spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").collect()] == [3]

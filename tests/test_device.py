@@ -197,3 +197,23 @@ def test_raw_files_to_aligned(spark):
     reasons = {r["source_file"].split("/", 1)[1]: r["reason"] for r in bad.collect()}
     assert reasons == {f"{K.HEART_RATE}/3_cd037752.csv": "no data rows", f"{K.HEART_RATE}/nobody.csv": "no participant id in file name",
                        f"{K.PULSE_OX}/1_cd037752.csv": "file is rejected: no column unixTimestampInMs"}
+
+
+def test_types_are_read_from_their_own_folders(spark, tmp_path):
+    pre = "\n".join(f"p{i}" for i in range(6))
+    for t, head, row in ((K.HEART_RATE, "isoDate,unixTimestampInMs,heartRate", "2025-01-01T10:00:00Z,1704110400000,72"),
+                         (K.STRESS, "isoDate,unixTimestampInMs,stressLevel", "2025-01-01T10:00:00Z,1704110400000,9")):
+        folder = tmp_path / "T_cd037752" / t
+        folder.mkdir(parents=True)
+        (folder / "1_cd037752.csv").write_text(f"{pre}\n{head}\n{row}\n")
+        (folder / "nobody.csv").write_text("x")
+    by_type = device.read_types(spark, str(tmp_path))
+    assert set(by_type) == {K.HEART_RATE, K.STRESS}
+    parts, bad = device.clean_files(by_type[K.STRESS], K.STRESS, 0)
+    (df,) = parts
+    assert {f.split("/")[-2] for f in df.inputFiles() if "settled-" not in f} == {K.STRESS}
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan text") <= 2
+    assert [r["reason"] for r in bad.collect()] == ["no participant id in file name"]
+    rows, _ = device.run(by_type, 0)
+    (row,) = rows.collect()
+    assert (row["beatsPerMinute"], row["stressLevel"]) == (72, 9)

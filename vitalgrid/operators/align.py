@@ -140,6 +140,10 @@ def align_rows(
 ) -> DataFrame:
     prepared = prepare_all(frames)
     stacked = _stack(prepared)
+    if mode == "fanout":
+        # the narrow table is counted and then used: written once, so that
+        # what made it (parsing, cleaning, expansion) runs once
+        stacked = settle(stacked)
     keyed = stacked.where(F.col("participant_id").isNotNull() & F.col("timestamp").isNotNull())
     if mode == "latest":
         return _latest(keyed, prepared).unionByName(_without_key(stacked))

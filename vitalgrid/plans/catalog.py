@@ -540,6 +540,24 @@ def batch_events(spark, sf_dir):
     return tracker.completion_events(done, {"device": "merge", "intervals": "preprocess"})
 
 
+def _forms(spark, sf_dir):
+    came = tracker.arrivals(S.form_arrivals(S.events(spark, sf_dir)), [K.QUESTIONNAIRE])
+    return came, M.expected_counts(M.batch_files(S.form_listing(spark, sf_dir), [K.QUESTIONNAIRE]))
+
+
+@query
+def survey_first_complete(spark, sf_dir):
+    """Questionnaire batches at the moment all their forms are there."""
+    return tracker.first_complete(*_forms(spark, sf_dir))
+
+
+@query
+def survey_outcomes(spark, sf_dir):
+    """Every sending of a form as duplicate, counted or triggered."""
+    came, expected = _forms(spark, sf_dir)
+    return tracker.outcomes(came, expected, "arrival_id").select("arrival_id", "outcome")
+
+
 # --- streams ----------------------------------------------------------------
 
 
@@ -588,3 +606,16 @@ def stream_batch_status(spark, sf_dir):
     expected = M.expected_counts(M.batch_files(S.listing(spark, sf_dir)))
     stream = batches.completions(batches.arrivals_of(_stream_arrivals(spark, sf_dir), expected))
     return _drained(spark, stream)
+
+
+@query
+def stream_survey_status(spark, sf_dir):
+    """Completed questionnaire batches from a stream; equal to the batch form."""
+    _, expected = _forms(spark, sf_dir)
+    pid = F.lpad(F.hex("user_id"), 8, "0")
+    sent = _stream(spark, sf_dir).withColumn("at", F.col("ts").cast("timestamp")).withColumn(
+        "patient_id", F.concat(F.lit("P"), F.col("user_id").cast("string"), F.lit("_"), pid)
+    )
+    forms = [K.QUESTIONNAIRE]
+    stream = batches.arrivals_of(S.form_arrivals(sent).drop("arrival_id"), expected, types=forms)
+    return _drained(spark, batches.completions(stream, forms))

@@ -508,3 +508,26 @@ FROM fin, (VALUES ('device', 'merge'), ('intervals', 'preprocess')) v(detail_typ
 
 ORACLE["stream_dedup"] = _with(_SENT) + "SELECT batch_key, file_id FROM once"
 ORACLE["stream_batch_status"] = ORACLE["batch_first_complete"]
+
+_FORMS = """fs AS (
+  SELECT event_id AS arrival_id, patient_id, 'questionnaire/f' || event_id // 2 || '.csv' AS file_id,
+    make_timestamp(1706745600000000 + (epoch_us(ts) - 1704067200000000) // 31) AS arrived FROM ev),
+fc AS (SELECT *, patient_id || '#' || strftime(arrived, '%Y-%m-%d') AS batch_key FROM fs),
+fw AS (SELECT patient_id, count(DISTINCT event_id // 2) + count(DISTINCT CASE WHEN event_id % 97 = 0 THEN event_id // 2 END) AS expected
+  FROM ev GROUP BY 1),
+fo AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY batch_key, file_id ORDER BY arrived, arrival_id) AS rn FROM fc) WHERE rn = 1),
+fr AS (SELECT fo.*, count(*) OVER (PARTITION BY batch_key ORDER BY arrived RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM fo),
+fd AS (SELECT batch_key, any_value(patient_id) AS patient_id, min(arrived) AS completed_at FROM fr JOIN fw USING (patient_id)
+  WHERE n >= expected GROUP BY 1)"""
+
+ORACLE["survey_first_complete"] = _with(_FORMS) + """
+SELECT fd.batch_key, fd.patient_id, completed_at, count(*) AS total_files
+FROM fd JOIN fo ON fo.batch_key = fd.batch_key AND arrived <= completed_at GROUP BY ALL"""
+ORACLE["stream_survey_status"] = ORACLE["survey_first_complete"]
+
+ORACLE["survey_outcomes"] = _with(_FORMS) + """
+SELECT fc.arrival_id, CASE WHEN fo.arrival_id IS NULL THEN 'duplicate' WHEN w.file_id IS NOT NULL THEN 'triggered' ELSE 'counted' END AS outcome
+FROM fc LEFT JOIN fo USING (arrival_id)
+LEFT JOIN (SELECT fo.batch_key, max(file_id) AS file_id FROM fo JOIN fd ON fo.batch_key = fd.batch_key AND arrived = completed_at GROUP BY 1) w
+  ON w.batch_key = fc.batch_key AND w.file_id = fc.file_id"""

@@ -244,6 +244,29 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def busy_day(at: Column) -> Column:
+    """The time of day on one day to which a month shrinks."""
+    return F.timestamp_micros(F.lit(1_706_745_600_000_000) + F.floor((F.unix_micros(at) - 1_704_067_200_000_000) / 31))
+
+
+def form_key(suffix: Column) -> Column:
+    """A questionnaire's key; two readings in a row are sendings of one form."""
+    return F.concat("patient_id", F.lit(f"/{K.QUESTIONNAIRE}/f"), F.floor(F.col("event_id") / 2).cast("string"), suffix)
+
+
+def form_arrivals(df: DataFrame) -> DataFrame:
+    """Every event as the arrival of a form, some twice."""
+    key = form_key(F.lit(".csv"))
+    return df.select(F.col("event_id").alias("arrival_id"), key.alias("object_key"), busy_day(F.col("at")).alias("arrived_at"))
+
+
+def form_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All forms, and one more for every 97th event that never arrives."""
+    lost = F.when(F.col("event_id") % 97 == 0, F.array(F.lit(".csv"), F.lit("_lost.csv"))).otherwise(F.array(F.lit(".csv")))
+    named = events(spark, sf_dir).withColumn("suffix", F.explode(lost))
+    return made(named, "path", form_key(F.col("suffix"))).select("path", F.lit(1).cast("bigint").alias("size")).distinct()
+
+
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source listing: without empty files (below 1), which arrive all the
     same, and with one more file for every 97th that never arrives."""
@@ -254,15 +277,16 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made(named, "path", F.concat(key, F.col("suffix"))).select("path", F.floor("value").cast("bigint").alias("size"))
 
 
-def device_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as the lines of their types' files.
+def device_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All events as the lines of their types' files, by type.
 
     Users with an odd number write heart-rate files in another form: quoted
     names and values, another order of columns and another name of the metric.
     """
     all_events = events(spark, sf_dir)
-    parts = []
-    for event_type in ACTS_AS:
+    out = {}
+    for event_type, data_type in ACTS_AS.items():
+        parts = []
         df = raw_of(all_events, event_type)
         names = [c for c in df.columns if c not in ("source_file", "line_no")]
         if event_type == "click":
@@ -272,4 +296,5 @@ def device_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             parts.append(device_lines(texts, '"heartRate",' + ",".join(f'"{c}"' for c in other[1:]), other))
             df = df.where(~odd)
         parts.append(device_lines(df, ",".join(names), names))
-    return reduce(DataFrame.unionByName, parts)
+        out[data_type] = reduce(DataFrame.unionByName, parts)
+    return out

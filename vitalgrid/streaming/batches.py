@@ -3,11 +3,16 @@
 Repeated sendings are removed by a native stateful operator keyed by file, so
 its state and its work spread over all tasks. What is kept per batch is small
 and of fixed size: two numbers per data type and a flag.
+
+Watermarks follow the time at which the stream sees an arrival, not the time in
+the arrival. A file that comes days late is therefore never dropped; only
+the horizons below count from when it was seen.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -19,13 +24,16 @@ from vitalgrid import constants as K
 from vitalgrid.operators import tracker
 
 COMPLETED = "batch_key string, patient_id string, completed_at timestamp, total_files long"
+#: How long a batch without new arrivals is remembered.
 KEEP_STATE_MS = 3 * 86_400_000
+SEEN = "seen_at"
 _STATE = "actual array<long>, expected array<long>, done boolean"
 
 
 def distinct_arrivals(stream: DataFrame, keep: str = "2 days") -> DataFrame:
-    """First sendings only; state is dropped once a day can get no more files."""
-    return stream.withWatermark("arrived_at", keep).dropDuplicatesWithinWatermark(["batch_key", "file_id"])
+    """First sendings only. A repetition is known for ``keep`` after the first was seen."""
+    seen = stream.withColumn(SEEN, F.current_timestamp())
+    return seen.withWatermark(SEEN, keep).dropDuplicatesWithinWatermark(["batch_key", "file_id"])
 
 
 def with_expected(stream: DataFrame, expected: DataFrame) -> DataFrame:
@@ -35,7 +43,9 @@ def with_expected(stream: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
-def _advance(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _advance(
+    types: tuple[str, ...], keep_ms: int, key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState
+) -> Iterator[pd.DataFrame]:
     """Apply one batch's arrivals of a trigger in time order.
 
     Each Arrow chunk is reduced at once to a time, a type number and the
@@ -44,20 +54,21 @@ def _advance(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Ite
     if state.hasTimedOut:
         state.remove()
         return
-    n = len(K.DEVICE_TYPES)
+    n = len(types)
     actual, expected, done = ([0] * n, [0] * n, False)
     if state.exists:
         actual, expected, done = state.get
-    place = {t: i for i, t in enumerate(K.DEVICE_TYPES)}
+    place = {t: i for i, t in enumerate(types)}
     chunks = [
         (
             p["arrived_at"].to_numpy("datetime64[us]"),
             p["data_type"].map(place).to_numpy("int8"),
             p["expected"].to_numpy("int64"),
+            p[SEEN].to_numpy("datetime64[ms]"),
         )
         for p in pdfs
     ]
-    at, kind, want = (np.concatenate(c) for c in zip(*chunks))
+    at, kind, want, seen = (np.concatenate(c) for c in zip(*chunks))
     order = np.argsort(at, kind="stable")
     at, kind, want = at[order], kind[order], want[order]
 
@@ -78,8 +89,7 @@ def _advance(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Ite
     last_of_time = np.append(at[1:] != at[:-1], True)
     closed = np.flatnonzero(complete & counted & last_of_time)
     state.update((after, fixed, bool(done or len(closed))))
-    newest = int(at[-1].astype("datetime64[ms]").astype("int64"))
-    state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + KEEP_STATE_MS)
+    state.setTimeoutTimestamp(max(int(seen.max().astype("int64")), state.getCurrentWatermarkMs()) + keep_ms)
     if len(closed) and not done:
         first = int(closed[0])
         yield pd.DataFrame(
@@ -88,10 +98,10 @@ def _advance(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Ite
         )
 
 
-def completions(arrivals: DataFrame) -> DataFrame:
-    """Completed batches, each once, when its last open type closes."""
+def completions(arrivals: DataFrame, types=K.DEVICE_TYPES, keep_ms: int = KEEP_STATE_MS) -> DataFrame:
+    """Completed batches of the given types, each once, when its last open type closes."""
     return arrivals.groupBy("batch_key", "patient_id").applyInPandasWithState(
-        _advance, COMPLETED, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+        partial(_advance, tuple(types), keep_ms), COMPLETED, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
@@ -142,6 +152,8 @@ def cascade(stream: DataFrame, checkpoint: str, on_complete, table: str):
     )
 
 
-def arrivals_of(stream: DataFrame, expected: DataFrame, path: str = "object_key", at: str = "arrived_at") -> DataFrame:
-    """Parsed, distinct arrivals with their expected numbers."""
-    return with_expected(distinct_arrivals(tracker.arrivals(stream, path=path, at=at)), expected)
+def arrivals_of(
+    stream: DataFrame, expected: DataFrame, path: str = "object_key", at: str = "arrived_at", types=K.DEVICE_TYPES
+) -> DataFrame:
+    """Parsed, distinct arrivals of the given types with their expected numbers."""
+    return with_expected(distinct_arrivals(tracker.arrivals(stream, types, path=path, at=at)), expected)
