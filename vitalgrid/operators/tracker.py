@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid import constants as K
 from vitalgrid.functions import paths
+from vitalgrid.session import settle
 
 SLOT = "yyyy-MM-dd HH:mm"
 BATCH = ["batch_key"]
@@ -184,27 +185,26 @@ def outcomes(df: DataFrame, expected: DataFrame, row_id: str) -> DataFrame:
     The trigger goes to the file, greatest by id, that arrived at the moment
     of completion with the type that closed then.
     """
-    progress = type_progress(df, expected)
-    done = completion(progress, expected).where("completed_at is not null")
-    firsts = df.groupBy("batch_key", "file_id").agg(
-        F.min(F.struct("arrived_at", row_id)).alias("_f")
+    keys = ["batch_key", "patient_id", "data_type", "file_id"]
+    # each file once with its first sending: written, as four later steps start from it
+    firsts = settle(
+        df.dropna(subset=[*keys, "arrived_at"]).groupBy(*keys).agg(F.min(F.struct("arrived_at", row_id)).alias("_f"))
+        .select(*keys, F.col("_f.arrived_at").alias("arrived_at"), F.col(f"_f.{row_id}").alias("_first"))
     )
-    first_id = F.col(f"_f.{row_id}")
+    progress = type_progress(firsts, expected)
+    done = completion(progress, expected).where("completed_at is not null")
     closers = (
         progress.join(done.drop("patient_id"), "batch_key")
         .where(F.col("reached") == F.col("completed_at"))
         .select("batch_key", "data_type", "completed_at")
     )
     winners = (
-        first_arrivals(df)
-        .join(closers.withColumnRenamed("completed_at", "arrived_at"), ["batch_key", "data_type", "arrived_at"])
+        firsts.join(closers.withColumnRenamed("completed_at", "arrived_at"), ["batch_key", "data_type", "arrived_at"])
         .groupBy("batch_key")
         .agg(F.max("file_id").alias("file_id"))
         .withColumn("_won", F.lit(True))
     )
-    marked = firsts.join(winners, ["batch_key", "file_id"], "left").select(
-        "batch_key", "file_id", first_id.alias("_first"), "_won"
-    )
+    marked = firsts.join(winners, ["batch_key", "file_id"], "left").select("batch_key", "file_id", "_first", "_won")
     out = (
         F.when(F.col(row_id) != F.col("_first"), F.lit("duplicate"))
         .when(F.col("_won"), F.lit("triggered"))
