@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vitalgrid.llm.divergence import CLASSES, Rules
+from vitalgrid.llm.licenses import Scan
 
 
 def _distance(counts: str, total: str, share: str) -> str:
@@ -52,7 +53,7 @@ m AS (
     CASE WHEN length(l0) >= {rules.least_chars} THEN near.c END AS char_distance,
     CASE WHEN n_words >= {rules.least_words} THEN near.w END AS word_distance
   FROM f LEFT JOIN rep USING (r) LEFT JOIN near USING (r))
-SELECT *, n_words < {rules.base_words} OR 100 * n_repeat_words > {rules.repeat_percent} * n_words AS base_failed,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {rules.base_words} OR 100 * n_repeat_words > {rules.repeat_percent} * n_words AS base_failed,
   NOT (n_words < {rules.base_words} OR 100 * n_repeat_words > {rules.repeat_percent} * n_words)
     AND coalesce(char_distance, 0) <= {rules.most_char_distance} AND coalesce(word_distance, 0) <= {rules.most_word_distance} AS kept
 FROM m"""
@@ -75,3 +76,32 @@ reach AS (SELECT x, y FROM sym UNION SELECT reach.x, sym.y FROM reach JOIN sym O
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(o.doc_id), d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (r) LEFT JOIN reach ON reach.x = d.r LEFT JOIN d o ON o.r = reach.y
 GROUP BY d.r, d.doc_id, n.n"""
+
+
+def license_scan(scan: Scan) -> str:
+    rows = ", ".join("({}, '{}', '{}')".format(i, label, body.replace("'", "''")) for i, (label, body) in enumerate(scan.templates))
+    phrases = ", ".join(f"('{phrase}', '{label}', {len(phrase.split())})" for phrase, label in scan.phrases)
+    clean = r"trim(regexp_replace(lower(coalesce({}, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'))"
+    k = scan.gram
+    grams = f"array_to_string(w[i:i + {k - 1}], ' ') AS g"
+    return f"""
+WITH tpl AS (SELECT tpl, label, string_split({clean.format('body')}, ' ') AS w FROM (VALUES {rows}) t(tpl, label, body)),
+tg AS (SELECT tpl, label, len(w) AS tw, i - 1 AS tpos, {grams} FROM (SELECT *, unnest(range(1, len(w) - {k - 2})) AS i FROM tpl)),
+d AS (SELECT r, doc_id, CASE WHEN c = '' THEN [] ELSE string_split(c, ' ') END AS w
+  FROM (SELECT row_number() OVER () AS r, doc_id, {clean.format('text')} AS c FROM documents)),
+dg AS (SELECT r, i - 1 AS dpos, {grams} FROM (SELECT r, w, unnest(range(1, len(w) - {k - 2})) AS i FROM d)),
+m AS (SELECT r, tpl, label, tw, dpos, tpos FROM dg JOIN tg USING (g)),
+dia AS (SELECT r, tpl, label, tw, dpos - tpos AS diagonal, min(dpos) AS f, max(dpos) AS l, list(DISTINCT tpos) AS ats FROM m GROUP BY ALL),
+part AS (SELECT *, sum(CASE WHEN diagonal - prev <= {scan.slack} THEN 0 ELSE 1 END) OVER (PARTITION BY r, tpl ORDER BY diagonal) AS part
+  FROM (SELECT *, lag(diagonal) OVER (PARTITION BY r, tpl ORDER BY diagonal) AS prev FROM dia)),
+span AS (SELECT r, tpl, label, tw, part, min(f) AS f, max(l) + {k - 1} AS l, flatten(list(ats)) AS ats FROM part GROUP BY ALL),
+cov AS (SELECT *, len(list_distinct(flatten(list_transform(ats, lambda p: range(p, p + {k}))))) / tw AS cover, (l - f + 1) / tw AS size FROM span),
+found AS (SELECT r, list(DISTINCT label) FILTER (cover >= {scan.least_cover} AND size <= {scan.most_length}) AS voted, max(cover) AS cover FROM cov GROUP BY r),
+places AS (SELECT r, label, i - 1 AS place FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d WHERE list_contains(w, 'license'))
+  JOIN (VALUES {phrases}) p(phrase, label, n) ON array_to_string(w[i:i + n - 1], ' ') = phrase),
+base AS (SELECT r, count(*) AS n, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS own FROM places GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word,
+  array_to_string(list_sort(coalesce(own, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(voted, [])))), ',') AS labels,
+  CASE WHEN n > 0 THEN 1.0 ELSE least(1.0, coalesce(cover, 0)) END AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)"""

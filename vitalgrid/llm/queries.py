@@ -128,10 +128,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distribution divergence over all documents."""
     return divergence.judge(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "char_distance", "word_distance",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
 ORACLE["op10_quality_rules"] = oracle.quality_rules(divergence.Rules())
 ORACLE["op8_ngram_jaccard_join"] = oracle.JACCARD
+ORACLE["op3_license_scan"] = oracle.license_scan(licenses.Scan())
