@@ -16,6 +16,8 @@ from vitalgrid.session import settle
 
 #: A document stays if at least this share of its n-grams belongs to one language.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Near copies share four fifths of their five-word shingles (``op8`` keeps its own bounds).
+NEAR_COPIES = jaccard.Join(gram=5, percent=80)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return jaccard.deduplicate(docs)
+    return jaccard.deduplicate(docs, NEAR_COPIES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

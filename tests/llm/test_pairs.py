@@ -80,6 +80,18 @@ def test_linked_sets_share_a_part():
                 assert np.bitwise_count(jaccard.bitmap(a) ^ jaccard.bitmap(b)).sum() <= len(np.setxor1d(a, b))
 
 
+def test_unrelated_sets_share_no_part_at_four_fifths():
+    import numpy as np
+
+    rnd, join = np.random.default_rng(3), jaccard.Join(gram=5, percent=80)
+    for n in (30, 200, 1000, 5000):
+        a, b = (np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in range(2))
+        assert not np.intersect1d(jaccard.part_keys(a, join), jaccard.part_keys(b, join)).size
+        near = np.unique(np.concatenate([a[n // 9 :], rnd.integers(0, 1 << 63, n // 9, dtype=np.uint64)]))
+        assert jaccard.linked(a, near, 80)
+        assert np.intersect1d(jaccard.part_keys(a, join), jaccard.part_keys(near, join)).size
+
+
 def test_join_of_odd_documents(spark, odd, none):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     got = jaccard.link(odd).collect()

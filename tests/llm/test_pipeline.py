@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 import pytest
 from compare import connect, difference
@@ -28,3 +30,38 @@ def test_stages_on_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
         assert docs.count() == 0
+
+
+def first_of_each_group(rows, gram, percent):
+    """The smallest id of each component, by comparing all pairs."""
+    words = [t.lower().split() for _, t in rows]
+    sets = [{tuple(w[i : i + gram]) for i in range(len(w) - gram + 1)} for w in words]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    return {rows[root(i)][0] for i in range(len(rows))}
+
+
+def test_near_duplicates_by_five_words_and_four_fifths(spark):
+    rnd, rows = random.Random(5), []
+    for _ in range(12):
+        text = [f"w{rnd.randint(0, 400)}" for _ in range(rnd.randint(60, 400))]
+        for changed in (0, 0, 1, 3, 5, 8):
+            other = list(text)
+            for i in rnd.sample(range(len(text)), min(changed, len(text) // 20)):
+                other[i] = f"x{rnd.randint(0, 99)}"
+            rows.append((len(rows), " ".join(other)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()}
+    assert kept == first_of_each_group(rows, 5, 80)
+    assert kept != first_of_each_group(rows, 3, 90)

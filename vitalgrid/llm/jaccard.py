@@ -31,6 +31,7 @@ the text are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -58,6 +59,7 @@ class Join:
     percent: int = 90
     #: Largest size of a band against its smallest.
     band: float = 1.3
+    #: Parts that may stay empty, at least; more where a band's parts are small.
     spare_parts: int = 3
     #: Sets of a block in the first and in the second step.
     block: int = 256
@@ -131,23 +133,40 @@ def node_of(own: np.ndarray) -> int:
     return int(mix(x).view(np.int64)[0])
 
 
+def _spare(low: int, differ: int, least: int) -> int:
+    """How many parts to spare, so that sets of ``low`` elements hardly ever have more empty ones.
+
+    Sets with more also show their empty parts, which all sets of the band share.
+    """
+    spare = least
+    while spare < least + 64 + low:
+        parts = differ + 1 + spare
+        filling = low / parts
+        empty = parts * math.exp(-filling)
+        if spare >= empty + 4 * math.sqrt(max(0.0, empty * (1 - (1 + filling) * math.exp(-filling)))):
+            break
+        spare += max(1, spare // 8)
+    return spare
+
+
 @lru_cache(maxsize=4)
-def bands(join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest size of each band, and its number of parts (0: only equal sets are linked)."""
-    lows, parts, low = [], [], 1
+def bands(join: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Smallest size of each band, its number of parts (0: only equal sets are linked) and how many of them may be empty."""
+    lows, parts, spares, low = [], [], [], 1
     while low < 1 << 40:
         high = max(low, int(low * join.band))
         larger = 100 * high // join.percent
         differ = (100 - join.percent) * (high + larger) // (100 + join.percent)
         lows.append(low)
-        parts.append(differ + 1 + join.spare_parts if differ else 0)
+        spares.append(_spare(low, differ, join.spare_parts) if differ else 0)
+        parts.append(differ + 1 + spares[-1] if differ else 0)
         low = high + 1
-    return np.array(lows), np.array(parts)
+    return np.array(lows), np.array(parts), np.array(spares)
 
 
 def part_keys(own: np.ndarray, join: Join) -> np.ndarray:
     """Keys of the parts by which a set can meet linked ones: in its band, and in those of smaller sets."""
-    lows, parts = bands(join)
+    lows, parts, spares = bands(join)
     n = len(own)
     least = -(-join.percent * n // 100)
     first, last = np.searchsorted(lows, [least, n], "right") - 1
@@ -160,7 +179,7 @@ def part_keys(own: np.ndarray, join: Join) -> np.ndarray:
         sums = np.zeros(p, U)
         np.add.at(sums, at, value)
         filled = np.bincount(at, minlength=p) > 0
-        shown = np.arange(p) if p - filled.sum() > join.spare_parts else np.flatnonzero(filled)
+        shown = np.arange(p) if p - filled.sum() > spares[band] else np.flatnonzero(filled)
         keys.append(mix(sums[shown] + mix(shown.astype(U) + U(band << 40))))
     return np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
 
