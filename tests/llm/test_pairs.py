@@ -141,6 +141,17 @@ def test_bounds_prune(spark):
     assert ((high >= reached).sum(0) == 50).all()
 
 
+@pytest.mark.parametrize("copies", [2, 3, 9])
+def test_repeated_query_rows_leave_no_rank_out(spark, monkeypatch, copies):
+    import numpy as np
+
+    monkeypatch.setattr(topk, "_pivots", lambda rows, n: np.array([[2560.0, 0.0]]))
+    rows = [(0, [10.0, 0.0])] * copies + [(i, [10.0 - i, float(i)]) for i in range(1, 9)] + [(1, [8.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.search(df, F.col("vec_id") % 50 == 0).collect()
+    assert sorted(map(tuple, got)) == exact(rows, 5)
+
+
 def test_search_few_and_none(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.search(empty, F.col("vec_id") % 50 == 0).count() == 0

@@ -3,9 +3,9 @@
 Queries belong to the cell of their nearest pivot. A summary of each cell (its
 radius ``r`` around the pivot ``p``) bounds the score of every row ``x`` for all
 queries of the cell: ``p.x - r|x| <= q.x <= p.x + r|x|``. The (k+1)-th largest
-lower bound over all rows is a score that each query of the cell surely reaches
-with k other rows, so only rows whose upper bound gets there are sent to the
-cell. There they are solved exactly, with integers.
+lower bound over all ids (each with its best row) is a score that each query of
+the cell surely reaches with k other rows, so only rows whose upper bound gets
+there are sent to the cell. There they are solved exactly, with integers.
 
 Cells are as many as the queries fill blocks. A cell with more queries is cut
 into several blocks, and a cell's rows into shards, so neither a crowded cell
@@ -93,20 +93,39 @@ def _bounds(x: np.ndarray, pivots: np.ndarray, radii: np.ndarray, sign: int) ->
 
 
 def _reached(rows: DataFrame, pivots: np.ndarray, radii: np.ndarray, k: int) -> np.ndarray:
-    """A score that every query of a cell reaches with k rows besides its own."""
+    """A score that every query of a cell reaches with k rows besides its own.
+
+    A query may stand on several rows, so each id counts once, with its best bound.
+    """
+
+    def best_of(low: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The k + 1 largest bounds of each cell with their ids, each id once."""
+        order = np.argsort(-low, axis=0, kind="stable")
+        low, ids = np.take_along_axis(low, order, 0), np.take_along_axis(ids, order, 0)
+        for i in range(1, len(ids)):
+            low[i, (ids[:i] == ids[i]).any(axis=0)] = -np.inf
+        order = np.argsort(-low, axis=0, kind="stable")[: k + 1]
+        return np.take_along_axis(low, order, 0), np.take_along_axis(ids, order, 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = np.empty((0, len(pivots)))
+        best, names = np.empty((0, len(pivots))), np.empty((0, len(pivots)), np.int64)
         for batch in batches:
             if batch.num_rows:
+                ids = batch.column(0).to_numpy()
                 low = _bounds(_matrix(batch.column(1)).astype(np.float64), pivots, radii, -1)
-                best = np.vstack([best, low])
-                best = -np.sort(-best, axis=0)[: k + 1]
+                order = np.argsort(ids, kind="stable")
+                ids, starts = np.unique(ids[order], return_index=True)
+                low = np.maximum.reduceat(low[order], starts, axis=0)
+                top = np.argsort(-low, axis=0, kind="stable")[: k + 1]
+                best, names = best_of(np.vstack([best, np.take_along_axis(low, top, 0)]), np.vstack([names, ids[top]]))
         cells = np.repeat(np.arange(len(pivots)), len(best))
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(best.T.ravel())], ["cell", "low"])
+        low, ids = best.T.ravel(), names.T.ravel()
+        real = low > -np.inf
+        yield pa.RecordBatch.from_arrays([pa.array(cells[real]), pa.array(ids[real]), pa.array(low[real])], ["cell", "id", "low"])
 
     rank = F.row_number().over(Window.partitionBy("cell").orderBy(F.col("low").desc()))
-    found = rows.mapInArrow(run, "cell bigint, low double").withColumn("rank", rank).where(F.col("rank") == k + 1)
+    found = rows.mapInArrow(run, "cell bigint, id bigint, low double").groupBy("cell", "id").agg(F.max("low").alias("low"))
+    found = found.withColumn("rank", rank).where(F.col("rank") == k + 1)
     reached = np.full(len(pivots), -np.inf)
     for r in found.collect():
         reached[r["cell"]] = r["low"]
