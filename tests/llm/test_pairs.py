@@ -92,6 +92,23 @@ def test_unrelated_sets_share_no_part_at_four_fifths():
         assert np.intersect1d(jaccard.part_keys(a, join), jaccard.part_keys(near, join)).size
 
 
+def test_groups_of_equal_short_sums_are_all_compared(spark):
+    import numpy as np
+
+    half = F.xxhash64("id").bitwiseAND(F.lit((1 << 31) - 1))
+    short = spark.range(600_000).select(half.alias("h")).toPandas()["h"].to_numpy()
+    sums = short[::2] + short[1::2]
+    order = np.argsort(sums, kind="stable")
+    at = order[np.flatnonzero(np.diff(sums[order]) == 0)[0] :][:2]
+    pairs = [(int(2 * i), int(2 * i + 1)) for i in at]
+    shared = spark.createDataFrame([(k, n) for k, pair in enumerate(pairs) for n in pair], "key long, node long")
+    bits = bytes(jaccard.bitmap(np.arange(20, dtype=np.uint64)))
+    sets = spark.createDataFrame([(n, 20, bytearray(bits)) for pair in pairs for n in pair], "node long, n long, bits binary")
+    labels = spark.createDataFrame([], "node long, label long")
+    found = jaccard.candidates(shared, labels, sets, jaccard.Join(), 16).collect()
+    assert sorted((r["a"], r["b"]) for r in found) == sorted(pairs)
+
+
 def test_join_of_odd_documents(spark, odd, none):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     got = jaccard.link(odd).collect()

@@ -339,10 +339,12 @@ def candidates(shared: DataFrame, labels: DataFrame, sets: DataFrame, join: Join
     """(a, b, more): pairs of different components that share a part and pass the bitmap bound, written."""
     named = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     groups = named.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.sum(F.xxhash64("node").bitwiseAND(F.lit((1 << 31) - 1))).alias("members")
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.min("node").alias("first"), F.max("node").alias("last"),
+        F.bit_xor("node").alias("members"), F.bit_xor(F.xxhash64("node")).alias("mixed_members"),
     )
-    # parts with the same members need one look
-    mixed = groups.where("low < high").groupBy("size", "members").agg(F.min("key").alias("key"))
+    # parts with the same members need one look: two members are told by first and last, more by 128 bits besides
+    same = ["size", "first", "last", "members", "mixed_members"]
+    mixed = groups.where("low < high").groupBy(*same).agg(F.min("key").alias("key"))
     cut = mixed.select("key", F.ceil(F.col("size") / F.lit(join.pair_block)).cast("int").alias("blocks"))
     rows = named.join(cut, "key").join(sets.select("node", "n", "bits"), "node")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
