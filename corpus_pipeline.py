@@ -16,13 +16,15 @@ from vitalgrid.session import settle
 
 #: A document stays if at least this share of its n-grams belongs to one language.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Words are judged from 50 on, by a bound that depends on their number (``op10`` keeps the bounds of its SQL).
+PROSE = divergence.Rules(least_words=50, most_word_distance=0.22, widened=True)
 #: Near copies share four fifths of their five-word shingles (``op8`` keeps its own bounds).
 NEAR_COPIES = jaccard.Join(gram=5, percent=80)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality rules reject."""
-    return divergence.judge(docs).where("kept").select(*docs.columns)
+    return divergence.judge(docs, PROSE).where("kept").select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,3 +65,19 @@ def test_near_duplicates_by_five_words_and_four_fifths(spark):
     kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()}
     assert kept == first_of_each_group(rows, 5, 80)
     assert kept != first_of_each_group(rows, 3, 90)
+
+
+def test_short_word_lists_go_and_short_prose_stays(spark):
+    from vitalgrid.llm.divergence import FUNCTION_WORDS
+
+    rnd, rows = random.Random(2), []
+    plain = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(3, 9))) for _ in range(300)]
+    for n in [500] * 20 + [51, 60, 75, 99] * 5:
+        words = [rnd.choice(FUNCTION_WORDS["en"]) if rnd.random() < 0.3 else rnd.choice(plain) for _ in range(n)]
+        rows.append((len(rows), "en", " ".join(words)))
+    lists = [(1000 + n, "en", " | ".join(rnd.sample(plain, n // 2))) for n in (104, 120, 150, 196)]
+    lists += [(2000 + n, "en", " ".join(w + "|" for w in rnd.sample(plain, n))) for n in (60, 70, 99)]
+    docs = spark.createDataFrame(rows + lists, "doc_id long, lang string, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, SMALL).collect()}
+    assert kept & {i for i, _, _ in lists} == set()
+    assert kept == {i for i, _, _ in rows}

@@ -15,6 +15,7 @@ the input stays; an input column named like an added one is replaced.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,8 @@ class Rules:
     #: Larger Jensen-Shannon distances reject.
     most_char_distance: float = 0.3
     most_word_distance: float = 0.25
+    #: Whether the word bound is widened by the spread of a histogram of so few words.
+    widened: bool = False
     #: The base rule.
     base_words: int = 20
     repeat_percent: int = 30
@@ -155,6 +158,18 @@ def repeated_words(words: Column, window: int) -> Column:
     return let(starts, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
 
 
+def word_bound(rules: Rules) -> Column:
+    """The largest word distance of a text that stays.
+
+    A sample of n words from a histogram of k + 1 shares has an expected squared
+    distance of k / (8 n ln 2) to it; that is added to the square of the bound.
+    """
+    if not rules.widened:
+        return F.lit(rules.most_word_distance)
+    listed = max(map(len, rules.words.values()))
+    return F.sqrt(rules.most_word_distance**2 + listed / (8 * math.log(2)) / F.greatest(F.col("n_words"), F.lit(1)))
+
+
 def judge(docs: DataFrame, rules: Rules | None = None, text: str = "text", lang: str = "lang") -> DataFrame:
     """All rows and columns of ``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     char_distance, word_distance, base_failed and kept. One pass for the references, one for the verdicts,
@@ -195,6 +210,6 @@ def judge(docs: DataFrame, rules: Rules | None = None, text: str = "text", lang:
     df = df.select("_row", F.inline(F.array(let(split_words(F.col("_text")), measures))))
     failed = (F.col("n_words") < rules.base_words) | (100 * F.col("n_repeat_words") > rules.repeat_percent * F.col("n_words"))
     near = (F.coalesce("char_distance", F.lit(0.0)) <= rules.most_char_distance) & (
-        F.coalesce("word_distance", F.lit(0.0)) <= rules.most_word_distance
+        F.coalesce("word_distance", F.lit(0.0)) <= word_bound(rules)
     )
     return df.select("_row.*", *added, failed.alias("base_failed"), (~failed & near).alias("kept"))
