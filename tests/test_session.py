@@ -29,3 +29,17 @@ def test_text_table_by_name(spark, tmp_path):
     assert got == [("a.csv", 1, "1", 'a, "b"', None), ("a.csv", 2, "", "", None), ("b.csv", 1, None, "q", "7")]
     plain = tables.read_text_table(spark, str(tmp_path), names=["x"])
     assert sorted(str(r["x"]) for r in plain.collect()) == ["1", "None", "None"]
+
+
+def test_scratch_goes_at_its_end(spark):
+    import os
+
+    with session.scratch(spark) as folder:
+        gone = session.settle(spark.range(3).toDF("id"))
+        kept = session.settle(gone.select((F.col("id") + 1).alias("id")), lasting=True)
+        assert gone.count() == 3 and os.listdir(folder)
+        with session.scratch(spark) as inner:
+            session.settle(gone)
+        assert not os.path.exists(inner) and gone.count() == 3
+    assert not os.path.exists(folder)
+    assert sorted(r["id"] for r in kept.collect()) == [1, 2, 3]

@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The folder of the innermost ``scratch``, if any.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def prepare_session(spark: SparkSession) -> SparkSession:
     """Set what the plans need on a session somebody else created.
@@ -58,19 +64,42 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def settle(df: DataFrame, *by: str) -> DataFrame:
+def settle(df: DataFrame, *by: str, lasting: bool = False) -> DataFrame:
     """Write a result to the shared folder and go on from the written table.
 
     For results that several later plans use: they are computed once, and a
-    lost executor costs a read instead of a recomputation.
+    lost executor costs a read instead of a recomputation. Inside ``scratch``
+    the table goes when the block ends, unless it is ``lasting``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    home = (None if lasting else _SCRATCH.get()) or shared_folder(spark)
+    path = f"{home}/settled-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*by) if by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A block whose settled tables are deleted at its end.
+
+    What leaves the block must not read them any more: settle it as lasting.
+    """
+    folder = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        remove(spark, folder)
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int, per_task: int = 200 << 20) -> int:
     """Shuffle partitions for an input size: about 200 MB a task.
 
