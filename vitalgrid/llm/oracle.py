@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from vitalgrid.llm.codes import Codes
 from vitalgrid.llm.divergence import CLASSES, Rules
 from vitalgrid.llm.licenses import Scan
 
@@ -105,3 +106,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, firs
   array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(voted, [])))), ',') AS labels,
   CASE WHEN n > 0 THEN 1.0 ELSE least(1.0, coalesce(cover, 0)) END AS score
 FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)"""
+
+
+def _whole(scale: int) -> str:
+    """Usable embeddings as (r, vec_id, label, e) with whole components."""
+    return f"""SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+def codes(own: Codes) -> str:
+    """Plain rounds: every part against every entry."""
+    steps = [
+        f"x AS MATERIALIZED ({_whole(int(own.scale))})",
+        f"""p AS MATERIALIZED (SELECT r, vec_id, label, p, e[p * len(e) // {own.parts} + 1 : (p + 1) * len(e) // {own.parts}] AS v
+  FROM (SELECT *, unnest(range({own.parts})) AS p FROM x))""",
+        f"""c0 AS MATERIALIZED (SELECT p, k, v FROM (SELECT p, v, row_number() OVER (PARTITION BY p ORDER BY vec_id, v) - 1 AS k FROM p)
+  WHERE k < {own.entries})""",
+    ]
+    for i in range(own.rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, p.p, any_value(p.vec_id) AS vec_id, any_value(p.label) AS label, any_value(p.v) AS v,
+    min(CAST(list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * 256 + k) AS m
+  FROM p JOIN c{i} c ON p.p = c.p GROUP BY r, p.p)""")
+        if i < own.rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.p, c.k, coalesce(n.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT p, k, list(CAST(floor(CAST(s AS DOUBLE) / n) AS BIGINT) ORDER BY j) AS v FROM (
+      SELECT p, m % 256 AS k, j, sum(v[j]) AS s, count(*) AS n FROM (SELECT p, m, v, unnest(range(1, len(v) + 1)) AS j FROM a{i}) GROUP BY ALL)
+    GROUP BY p, k) n ON n.p = c.p AND n.k = c.k)""")
+    done = ",\n".join(steps)
+    return f"""
+WITH {done},
+made AS (SELECT r, any_value(vec_id) AS vec_id, any_value(label) AS label, string_agg(lpad(lower(hex(m % 256)), 2, '0'), '' ORDER BY p) AS code,
+  CAST(sum(m // 256) AS BIGINT) AS error FROM a{own.rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, k)) FROM c{own.rounds}) AS codebooks_sha256 FROM made"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bpe, chat, divergence, jaccard, languages, licenses, oracle, packing, quality, topk, urls
+from vitalgrid.llm import bpe, chat, codes, divergence, jaccard, languages, licenses, oracle, packing, quality, topk, urls
 from vitalgrid.llm.common import doc_crc, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,6 +132,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings after six rounds."""
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_vector_codes"] = oracle.codes(codes.Codes())
 ORACLE["op10_quality_rules"] = oracle.quality_rules(divergence.Rules())
 ORACLE["op8_ngram_jaccard_join"] = oracle.JACCARD
 ORACLE["op3_license_scan"] = oracle.license_scan(licenses.Scan())

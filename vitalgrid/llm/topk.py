@@ -52,7 +52,7 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & F.forall(vector, finite)
 
 
-def _matrix(column) -> np.ndarray:
+def matrix(column) -> np.ndarray:
     """Rows of equal length from an Arrow list column."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -74,7 +74,7 @@ def _radii(queries: DataFrame, pivots: np.ndarray) -> np.ndarray:
         most = np.full(len(pivots), -1.0)
         for batch in batches:
             if batch.num_rows:
-                x = _matrix(batch.column(1)).astype(np.float64)
+                x = matrix(batch.column(1)).astype(np.float64)
                 cell = _cells(x, pivots)
                 np.maximum.at(most, cell, np.sqrt(((x - pivots[cell]) ** 2).sum(1)))
         at = np.flatnonzero(most >= 0)
@@ -112,7 +112,7 @@ def _reached(rows: DataFrame, pivots: np.ndarray, radii: np.ndarray, k: int) ->
         for batch in batches:
             if batch.num_rows:
                 ids = batch.column(0).to_numpy()
-                low = _bounds(_matrix(batch.column(1)).astype(np.float64), pivots, radii, -1)
+                low = _bounds(matrix(batch.column(1)).astype(np.float64), pivots, radii, -1)
                 order = np.argsort(ids, kind="stable")
                 ids, starts = np.unique(ids[order], return_index=True)
                 low = np.maximum.reduceat(low[order], starts, axis=0)
@@ -178,13 +178,13 @@ def search(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                cell = _cells(_matrix(batch.column(1)).astype(np.float64), pivots)
+                cell = _cells(matrix(batch.column(1)).astype(np.float64), pivots)
                 yield pa.RecordBatch.from_arrays([pa.array(cell), *batch.columns], ["cell", "id", "v"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                high = _bounds(_matrix(batch.column(1)).astype(np.float64), pivots, radii, 1)
+                high = _bounds(matrix(batch.column(1)).astype(np.float64), pivots, radii, 1)
                 for cell in np.flatnonzero(radii >= 0):
                     kept = batch.filter(pa.array(high[:, cell] >= reached[cell]))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(kept.num_rows, cell)), *kept.columns], ["cell", "id", "v"])
@@ -203,7 +203,7 @@ def search(
         names = ["query_id", "vec_id", "score"]
         if not left.num_rows or not right.num_rows:
             return pa.table({c: pa.array([], pa.int64()) for c in names})
-        found = _solve(left["id"].to_numpy(), _matrix(left["v"]), right["id"].to_numpy(), _matrix(right["v"]), own.k)
+        found = _solve(left["id"].to_numpy(), matrix(left["v"]), right["id"].to_numpy(), matrix(right["v"]), own.k)
         return pa.table(dict(zip(names, map(pa.array, found))))
 
     unit = ["cell", "block", "shard"]
