@@ -5,6 +5,7 @@ from __future__ import annotations
 from vitalgrid.llm.codes import Codes
 from vitalgrid.llm.divergence import CLASSES, Rules
 from vitalgrid.llm.licenses import Scan
+from vitalgrid.llm.negatives import Mining
 
 
 def _distance(counts: str, total: str, share: str) -> str:
@@ -141,3 +142,21 @@ made AS (SELECT r, any_value(vec_id) AS vec_id, any_value(label) AS label, strin
   CAST(sum(m // 256) AS BIGINT) AS error FROM a{own.rounds} GROUP BY r)
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
   (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, k)) FROM c{own.rounds}) AS codebooks_sha256 FROM made"""
+
+
+def negatives(own: Mining, bump: str) -> str:
+    """Every anchor against every row."""
+    return f"""
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN {bump} ELSE label END AS label, e FROM ({_whole(int(own.scale))})
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, x.vec_id AS id, a.label = x.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.e, x.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v x ON a.vec_id <> x.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (SELECT anchor_id, id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r FROM s WHERE same) WHERE r <= {own.positives})
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT pos.anchor_id, pos.id AS positive_id, pos.score AS positive_score, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY pos.anchor_id, pos.id ORDER BY s.score DESC, s.id) AS rank
+  FROM pos JOIN s ON s.anchor_id = pos.anchor_id AND NOT s.same
+    AND {own.least} * pos.score <= 100 * s.score AND 100 * s.score <= {own.most} * pos.score)
+WHERE rank <= {own.negatives}"""
