@@ -160,3 +160,17 @@ SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_
   FROM pos JOIN s ON s.anchor_id = pos.anchor_id AND NOT s.same
     AND {own.least} * pos.score <= 100 * s.score AND 100 * s.score <= {own.most} * pos.score)
 WHERE rank <= {own.negatives}"""
+
+
+#: Base 32 by hand: 160 bits in 32 groups of five.
+ARCHIVE = """
+WITH d AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    array_to_string(list_transform(string_split(sha1(coalesce(html, '')), ''), lambda c: lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')), '') AS bits,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+    list_sum(list_transform(range(5), lambda j: CAST(substr(bits, 5 * i + j + 1, 1) AS INT) * (16 >> j))) AS INT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d"""

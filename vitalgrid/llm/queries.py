@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import bpe, chat, codes, divergence, jaccard, languages, licenses, negatives, oracle, packing, quality, topk, urls
+from vitalgrid.llm import bpe, chat, codes, divergence, jaccard, languages, licenses, negatives, oracle, packing, quality, topk, urls, warc
 from vitalgrid.llm.common import doc_crc, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,6 +142,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_hard_negatives"] = oracle.negatives(negatives.Mining(), "(label + 1) % 10")
 
 
+@query
+def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC files and read back."""
+    made = warc.round_trip(table(spark, sf_dir, "pages"))
+    return made.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op12_warc_archive"] = oracle.ARCHIVE
+
+
 @query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product codes of all embeddings after six rounds."""
