@@ -50,10 +50,10 @@ def copies(seed, n=60, words=80):
     return rows
 
 
-@pytest.mark.parametrize("seed,block,pairs,limit", [(1, 256, 512, 16), (2, 2, 2, 1), (3, 1, 3, 2)])
-def test_join_against_brute_force(spark, seed, block, pairs, limit):
+@pytest.mark.parametrize("seed,block,pairs,each", [(1, 256, 512, 16), (2, 2, 2, 0), (3, 1, 3, 1), (4, 1, 256, 0)])
+def test_join_against_brute_force(spark, seed, block, pairs, each):
     rows = copies(seed)
-    join = jaccard.Join(block=block, pair_block=pairs, candidates=limit)
+    join = jaccard.Join(block=block, pair_block=pairs, pairs_each=each)
     got = jaccard.link(spark.createDataFrame(rows, "doc_id long, text string"), join).collect()
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(brute(rows))
 
@@ -105,10 +105,24 @@ def test_groups_of_equal_short_sums_are_all_compared(spark):
     bits = bytes(jaccard.bitmap(np.arange(20, dtype=np.uint64)))
     sets = spark.createDataFrame([(n, 20, bytearray(bits)) for pair in pairs for n in pair], "node long, n long, bits binary")
     labels = spark.createDataFrame([], "node long, label long")
-    found = jaccard.candidates(shared, labels, sets, jaccard.Join(), 16).collect()
+    found = jaccard.compare(shared, labels, sets, jaccard.Join()).where("tile IS NULL").collect()
     assert sorted((r["a"], r["b"]) for r in found) == sorted(pairs)
 
 
+def test_crowd_of_unlinked_near_copies_gives_few_rows(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 62, 200, dtype=np.uint64)
+    owned = [np.unique(np.concatenate([base[:176], rng.integers(0, 1 << 62, 22, dtype=np.uint64)])) for _ in range(300)]
+    sets = spark.createDataFrame([(i, len(x), bytearray(jaccard.bitmap(x))) for i, x in enumerate(owned)], "node long, n long, bits binary")
+    shared = spark.range(300).selectExpr("7L AS key", "id AS node")
+    join, labels = jaccard.Join(percent=75, pair_block=100, pairs_each=8), spark.createDataFrame([], "node long, label long")
+    found = jaccard.compare(shared, labels, sets, join).collect()
+    assert all(r["tile"] is not None for r in found) and len(found) <= 3 * 3 * 2 * 300
+    assert {r["a"] for r in found} == set(range(300))
+
+
 def test_join_of_odd_documents(spark, odd, none):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     got = jaccard.link(odd).collect()

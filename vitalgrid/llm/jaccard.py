@@ -14,13 +14,14 @@ cannot be linked and are never compared.
    from above: ``(a + b - differing bits) / 2``; what passes is intersected
    exactly, until all sets of the block are connected or compared.
 2. Links give components. Parts that are still shared between different
-   components are compared over all block pairs by bitmaps; a few of the closest
-   candidates for each pair of components are intersected exactly, and this is
-   repeated with more until no candidate is left.
+   components are compared over all block pairs by bitmaps. A block in which few
+   pairs pass the bound hands these on, to be intersected exactly; a block in
+   which many pass becomes a tile of its own and is solved like the first ones,
+   with its components carried along, so only links leave it.
 
 No link is lost: each linked pair shares a part, and is either connected or
 compared. Equal sets are one node from the start, so copies cost nothing; no
-group is expanded into pairs.
+group is expanded into pairs. Intermediate tables go when the labels are written.
 
 Defined results: a null text, an empty one or one without words has no n-grams
 and is linked with nothing; fewer words than an n-gram make one element of all
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.session import settle
+from vitalgrid.session import scratch, settle
 
 U = np.uint64
 SPACES = np.zeros(256, bool)
@@ -63,9 +64,9 @@ class Join:
     spare_parts: int = 3
     #: Sets of a block in the first and in the second step.
     block: int = 256
-    pair_block: int = 512
-    #: Candidates for each two components in the first round.
-    candidates: int = 16
+    pair_block: int = 256
+    #: Pairs for each of its sets that a block may hand on; with more it becomes a tile.
+    pairs_each: int = 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -294,8 +295,11 @@ def _bitmaps(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), U).reshape(-1, BITS // 64)
 
 
-def link_tiles(sets: DataFrame, join: Join) -> DataFrame:
-    """(a, b): links that connect each block's sets as far as any links do."""
+def link_tiles(placed: DataFrame, join: Join) -> DataFrame:
+    """(a, b): links that connect each block's sets as far as any links do.
+
+    ``placed`` has (tile, block, node, label, n, elements, bits); sets of one label are connected already.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         n = table["n"].to_numpy()
@@ -303,7 +307,8 @@ def link_tiles(sets: DataFrame, join: Join) -> DataFrame:
         n, nodes = n[order], table["node"].to_numpy()[order]
         bits, raw = _bitmaps(table["bits"])[order], table["elements"].to_pylist()
         own = [np.frombuffer(raw[i], U) for i in order]
-        up, links = list(range(len(n))), []
+        known: dict[int, int] = {}
+        up, links = [known.setdefault(m, i) if m is not None else i for i, m in enumerate(table["label"].take(order).to_pylist())], []
         ends = np.searchsorted(n, 100 * n // join.percent, "right")
         for i in range(len(n)):
             j = np.arange(i + 1, ends[i])
@@ -316,7 +321,6 @@ def link_tiles(sets: DataFrame, join: Join) -> DataFrame:
         a, b = zip(*links) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    placed = sets.select("node", "n", "elements", "bits", F.explode("places").alias("p")).select("p.tile", "p.block", "node", "n", "elements", "bits")
     return placed.groupBy("tile", "block").applyInArrow(run, "a bigint, b bigint")
 
 
@@ -335,8 +339,14 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def candidates(shared: DataFrame, labels: DataFrame, sets: DataFrame, join: Join, limit: int) -> DataFrame:
-    """(a, b, more): pairs of different components that share a part and pass the bitmap bound, written."""
+def compare(shared: DataFrame, labels: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """(tile, a, b): what may still link different components, by bitmaps, written.
+
+    Without a tile, ``a`` and ``b`` are two nodes that pass the bound. A block
+    in which more than ``pairs_each`` pairs a row pass gives its nodes instead,
+    with their labels as ``b``, as a tile of its own. So what leaves a block grows
+    with its rows and not with their square.
+    """
     named = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     groups = named.groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.min("node").alias("first"), F.max("node").alias("last"),
@@ -356,23 +366,24 @@ def candidates(shared: DataFrame, labels: DataFrame, sets: DataFrame, join: Join
         n, nodes, label = n[order], table["node"].to_numpy()[order], table["label"].to_numpy()[order]
         side, bits = table["own"].to_numpy()[order], _bitmaps(table["bits"])[order]
         across, ends = key[1].as_py() != key[2].as_py(), np.searchsorted(n, 100 * n // join.percent, "right")
-        found: dict[tuple[int, int], list] = {}
+        found, count = [], 0
         for x in range(len(n)):
             y = np.arange(x + 1, ends[x])
             y = y[label[y] != label[x]]
             if across:
                 y = y[side[y] != side[x]]
             differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1).astype(np.int64)
-            ok = differ <= may_differ(n[y], n[x], join.percent)
-            for k, d in zip(y[ok], differ[ok]):
-                pair = (min(label[x], label[k]), max(label[x], label[k]))
-                found.setdefault(pair, []).append((int(d), min(nodes[x], nodes[k]), max(nodes[x], nodes[k])))
-        out = [(a, b, len(pairs) > limit) for pairs in found.values() for _, a, b in sorted(pairs)[:limit]]
-        a, b, more = zip(*out) if out else ((), (), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "more": pa.array(more, pa.bool_())})
+            y = y[differ <= may_differ(n[y], n[x], join.percent)]
+            count += len(y)
+            if count > join.pairs_each * len(n):
+                tile = node_of(np.array([k.as_py() for k in key], np.int64).view(U))
+                return pa.table({"tile": pa.array(np.full(len(n), tile)), "a": pa.array(nodes), "b": pa.array(label)})
+            if len(y):
+                found.append(np.stack([np.minimum(nodes[x], nodes[y]), np.maximum(nodes[x], nodes[y])]))
+        a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+        return pa.table({"tile": pa.nulls(len(a), pa.int64()), "a": pa.array(a), "b": pa.array(b)})
 
-    made = rows.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint, more boolean")
-    return settle(made.groupBy("a", "b").agg(F.max("more").alias("more")))
+    return settle(rows.groupBy("key", "i", "j").applyInArrow(run, "tile bigint, a bigint, b bigint"))
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -393,35 +404,37 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def node_labels(docs: DataFrame, rows: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
-    """(node, label) of every node that is linked with another."""
+    """(node, label) of every node that is linked with another, written to last."""
     shared = shared_keys(rows)
     wanted = settle(tiles(shared, join))
     sets = fetch_sets(docs, rows, wanted, join, doc_id, text)
-    edges = settle(link_tiles(sets, join))
-    tested, limit = None, join.candidates
-    while True:
-        labels = components(edges)
-        found = candidates(shared, labels, sets, join, limit)
-        fresh = found if tested is None else found.join(tested, ["a", "b"], "left_anti")
-        if fresh.isEmpty():
-            if found.where("more").isEmpty():
-                return labels
-            limit *= 8
-            continue
-        edges = edges.unionByName(verify(fresh.select("a", "b"), sets, join.percent))
-        tested = settle(fresh.select("a", "b") if tested is None else tested.unionByName(fresh.select("a", "b")))
-        limit *= 2
+    placed = sets.select("node", "n", "elements", "bits", F.lit(None).cast("long").alias("label"), F.explode("places").alias("p"))
+    edges = settle(link_tiles(placed.select("p.tile", "p.block", "node", "label", "n", "elements", "bits"), join))
+    left = compare(shared, components(edges), sets, join)
+    edges = edges.unionByName(verify(left.where("tile IS NULL").select("a", "b").distinct(), sets, join.percent))
+    crowded = left.where("tile IS NOT NULL").select("tile", F.lit(0).alias("block"), F.col("a").alias("node"), F.col("b").alias("label"))
+    edges = edges.unionByName(settle(link_tiles(crowded.join(sets.drop("places"), "node"), join)))
+    return settle(components(edges), lasting=True)
+
+
+def linked_nodes(docs: DataFrame, join: Join, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, rk, n, node), and of every node its ``label`` with the id and rk that stand for it."""
+    with scratch(docs.sparkSession):
+        rows = sketch(docs, join, doc_id, text)
+        labels = node_labels(docs, rows, join, doc_id, text)
+        rows = settle(rows.select("id", "rk", "n", "node"), lasting=True)
+    # the first row of each node before the join, so that a node of many copies is one row there
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "rk")).alias("first")
+    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(first).join(labels, "node", "left")
+    return rows, nodes.select("node", F.coalesce("label", "node").alias("label"), "first")
 
 
 def link(docs: DataFrame, join: Join | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row: the id, rk (see ``row_key``), n_shingles, component_id and ``label`` (null without n-grams)."""
-    join = join or Join()
-    rows = sketch(docs, join, doc_id, text)
-    labels = node_labels(docs, rows, join, doc_id, text)
-    named = rows.select("id", "rk", "n", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = named.select("id", "rk", "n", "label")
-    least = named.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("least"))
-    return named.join(least, "label", "left").select(
+    rows, nodes = linked_nodes(docs, join or Join(), doc_id, text)
+    least = nodes.groupBy("label").agg(F.min("first.id").alias("least"))
+    named = nodes.join(least, "label").select("node", "label", "least")
+    return rows.join(named, "node", "left").select(
         F.col("id").alias(doc_id), "rk", F.col("n").alias("n_shingles"),
         F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"), "label",
     )
@@ -429,10 +442,9 @@ def link(docs: DataFrame, join: Join | None = None, doc_id: str = "doc_id", text
 
 def deduplicate(docs: DataFrame, join: Join | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with one row of each component: that of the smallest id. Rows without n-grams stay."""
-    linked_rows = link(docs, join, doc_id, text)
-    first = F.min(F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), F.col("rk").alias("rk")))
-    one = linked_rows.where("label IS NOT NULL").groupBy("label").agg(first["rk"].alias("_rk")).select("_rk", F.lit(False).alias("_all"))
-    bare = linked_rows.where("label IS NULL").select(F.col("rk").alias("_rk"), F.lit(True).alias("_all"))
+    rows, nodes = linked_nodes(docs, join or Join(), doc_id, text)
+    one = nodes.groupBy("label").agg(F.min("first")["rk"].alias("_rk")).select("_rk", F.lit(False).alias("_all"))
+    bare = rows.where("node IS NULL").select(F.col("rk").alias("_rk"), F.lit(True).alias("_all"))
     keep = one.union(bare).groupBy("_rk").agg(F.max("_all").alias("_all"))
     rows = docs.select(F.struct("*").alias("_row"), row_key(doc_id, text).alias("_rk")).join(keep, "_rk")
     rows = rows.withColumn("_n", F.expr("row_number() OVER (PARTITION BY _rk ORDER BY _rk)"))
