@@ -15,27 +15,42 @@ from vitalgrid.sources import lines as L
 def read_text_table(
     spark: SparkSession, root: str, glob: str = "*.csv", names: Sequence[str] | None = None, keep_empty: bool = False
 ) -> DataFrame:
-    """All files below ``root`` as one table of texts, columns by name.
+    """The rows of ``read_text_files`` where nobody asks for its rejects."""
+    return read_text_files(spark, root, glob, names, keep_empty)[0]
+
+
+def read_text_files(
+    spark: SparkSession, root: str, glob: str = "*.csv", names: Sequence[str] | None = None, keep_empty: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """All files below ``root`` as one table of texts, columns by name, and the files that gave none.
 
     Files may differ in columns and in their order: a column a file lacks is
     null. ``keep_empty`` keeps an empty field as empty text. Quoted fields may
-    run over lines. No types are guessed, so no extra pass over the data.
+    run over lines. No types are guessed. The decoded lines are written once,
+    so the files are read twice: for their character sets, and for this.
     """
-    lines = L.decode_lines(L.read_lines(spark, root, glob)).drop("charset")
-    return text_table(lines, names, keep_empty)
+    lines = settle(L.decode_lines(L.read_lines(spark, root, glob)).drop("charset"))
+    return text_files(lines, names, keep_empty)
 
 
-def text_table(lines: DataFrame, names: Sequence[str] | None = None, keep_empty: bool = False) -> DataFrame:
-    facts = settle(L.positional_headers(lines, 0))
+def text_files(lines: DataFrame, names: Sequence[str] | None = None, keep_empty: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of numbered lines whose first line with text is the header.
+
+    Rejected are files without rows, with a quoted field that is never closed,
+    or with a record of more cells than names; a line break in a quoted field
+    belongs to its cell.
+    """
+    facts = settle(L.named_headers(lines))
+    rejects = L.rejected(facts).unionByName(L.unbalanced(lines, facts))
     width = L.header_width(facts)
     names = list(names or L.header_names(facts, width))
     rows = L.records(lines, facts, names, width, joined=True)
     if not keep_empty:
-        return rows
+        return rows, rejects
     # empty and absent differ: an absent column is null for the whole file
     own = L.with_fields(facts, F.col("header"), width, "_own").select("source_file", "lanes", "_own")
     joined = spread.join_per_file(rows, own, "source_file", "line_no", "lanes")
     cells = [
         F.when(F.col(n).isNull() & F.array_contains("_own", n), F.lit("")).otherwise(F.col(n)).alias(n) for n in names
     ]
-    return joined.select("source_file", "line_no", *cells)
+    return joined.select("source_file", "line_no", *cells), rejects
