@@ -59,9 +59,13 @@ def column_name(data_type: str) -> str:
     return data_type.replace("-", "_") + "_count"
 
 
-def type_progress(df: DataFrame, expected: DataFrame) -> DataFrame:
+def type_progress(df: DataFrame, expected: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Per batch and type: actual, expected, first seen, complete since.
 
+    ``before`` (batch_key, data_type, actual, expected, seen, reached) is what
+    was known without ``df``: counts go on from there, an expected number or a
+    time that was there stays, and types without rows in ``df`` are kept.
+
     ``reached`` is the arrival that brings the type to its expected number. It
     is found in two steps: the minute in which the running count passes the
     number (at most 1440 counts a day), then the time inside that minute.
@@ -72,9 +76,13 @@ def type_progress(df: DataFrame, expected: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("arrived_at").alias("first_at")
     )
     along = Window.partitionBy(*group).orderBy("slot")
-    running = slots.join(expected, ["patient_id", "data_type"], "left").withColumn(
-        "upto", F.sum("n").over(along)
-    )
+    running = slots.join(expected, ["patient_id", "data_type"], "left")
+    counted = F.sum("n").over(along)
+    if before is not None:
+        had = before.select("batch_key", "data_type", F.col("actual").alias("had"), F.col("expected").alias("fixed"))
+        running = running.join(had, ["batch_key", "data_type"], "left").withColumn("expected", F.coalesce(F.nullif("fixed", F.lit(0)), "expected"))
+        counted = counted + F.coalesce("had", F.lit(0))
+    running = running.withColumn("upto", counted)
     totals = running.groupBy(*group).agg(
         F.sum("n").alias("actual"), F.max("expected").alias("expected"), F.min("first_at").alias("seen")
     )
@@ -93,7 +101,18 @@ def type_progress(df: DataFrame, expected: DataFrame) -> DataFrame:
         .groupBy(*group)
         .agg(F.min("arrived_at").alias("reached"))
     )
-    return totals.join(reached, group, "left")
+    found = totals.join(reached, group, "left")
+    if before is None:
+        return found
+    names = ["actual", "expected", "seen", "reached"]
+    old = before.select("batch_key", "patient_id", "data_type", *[F.col(c).alias(f"_{c}") for c in names])
+    return found.join(old, group, "full").select(
+        *group,
+        (F.coalesce("actual", F.lit(0)) + F.coalesce("_actual", F.lit(0))).alias("actual"),
+        F.coalesce("expected", "_expected").alias("expected"),
+        F.coalesce("_seen", "seen").alias("seen"),
+        F.coalesce("_reached", "reached").alias("reached"),
+    )
 
 
 def completion(progress: DataFrame, expected: DataFrame, known_types: str = "frozen_on_first_arrival") -> DataFrame:
@@ -193,6 +212,11 @@ def outcomes(df: DataFrame, expected: DataFrame, row_id: str) -> DataFrame:
     )
     progress = type_progress(firsts, expected)
     done = completion(progress, expected).where("completed_at is not null")
+    return label_arrivals(df, firsts, progress, done, row_id)
+
+
+def label_arrivals(df: DataFrame, firsts: DataFrame, progress: DataFrame, done: DataFrame, row_id: str) -> DataFrame:
+    """``df`` with its outcome: against first sendings (with ``_first``, the row's id) and completed batches."""
     closers = (
         progress.join(done.drop("patient_id"), "batch_key")
         .where(F.col("reached") == F.col("completed_at"))
@@ -210,7 +234,10 @@ def outcomes(df: DataFrame, expected: DataFrame, row_id: str) -> DataFrame:
         .when(F.col("_won"), F.lit("triggered"))
         .otherwise(F.lit("counted"))
     )
-    return df.join(marked, ["batch_key", "file_id"]).withColumn("outcome", out).drop("_first", "_won")
+    # a file without a first sending here was sent before
+    labelled = df.dropna(subset=["batch_key", "file_id", "arrived_at"]).join(marked, ["batch_key", "file_id"], "left")
+    out = F.when(F.col("_first").isNull(), F.lit("duplicate")).otherwise(out)
+    return labelled.withColumn("outcome", out).drop("_first", "_won")
 
 
 def completion_events(done: DataFrame, rules: dict[str, str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid import constants as K
@@ -17,7 +17,7 @@ from vitalgrid.session import prepare_session, shared_folder
 from vitalgrid.sources import arrivals as A
 from vitalgrid.sources import lines as L
 from vitalgrid.sources import manifest as M
-from vitalgrid.streaming import batches
+from vitalgrid.streaming import batches, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -582,6 +582,7 @@ def _stream_arrivals(spark, sf_dir):
         .select(
             "object_key",
             (F.col("sent_at") + F.make_dt_interval(mins=F.col("later"))).alias("arrived_at"),
+            (F.col("event_id") * 2 + F.signum("later").cast("bigint")).alias("arrival_id"),
         )
     )
 
@@ -619,3 +620,53 @@ def stream_survey_status(spark, sf_dir):
     forms = [K.QUESTIONNAIRE]
     stream = batches.arrivals_of(S.form_arrivals(sent).drop("arrival_id"), expected, types=forms)
     return _drained(spark, batches.completions(stream, forms))
+
+
+def _body(key: Column) -> Column:
+    return F.concat(
+        F.lit('{"Records":[{"eventSource":"aws:s3","s3":{"bucket":{"name":"in"},"object":{"key":"'), F.url_encode(key), F.lit('"}}}]}')
+    )
+
+
+def _applied(spark, messages: DataFrame, expected: DataFrame, name: str) -> DataFrame:
+    """A stream of messages run to its end; one of its tables."""
+    home = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    incremental.run(messages, home, expected)
+    return incremental.table(spark, home, name)
+
+
+@query
+def stream_outcomes(spark, sf_dir):
+    """Every sending from a stream of JSON messages as duplicate, counted or triggered; equal to the batch form."""
+    expected = M.expected_counts(M.batch_files(S.listing(spark, sf_dir)))
+    sent = _stream_arrivals(spark, sf_dir).select(
+        F.lpad(F.col("arrival_id").cast("string"), 20, "0").alias("message_id"), _body(F.col("object_key")).alias("body"), "arrived_at"
+    )
+    made = _applied(spark, sent, expected, "outcomes")
+    return made.select(F.col("message_id").cast("bigint").alias("arrival_id"), "outcome")
+
+
+@query
+def stream_completions(spark, sf_dir):
+    """Completed batches from a stream of JSON messages."""
+    expected = M.expected_counts(M.batch_files(S.listing(spark, sf_dir)))
+    sent = _stream_arrivals(spark, sf_dir).select(
+        F.col("arrival_id").cast("string").alias("message_id"), _body(F.col("object_key")).alias("body"), "arrived_at"
+    )
+    made = _applied(spark, sent, expected, "completed")
+    return made.select("batch_key", "patient_id", "completed_at", "total_files")
+
+
+@query
+def stream_letters(spark, sf_dir):
+    """Unreadable messages, each sent up to eight times: tries and dead letters."""
+    expected = M.expected_counts(M.batch_files(S.listing(spark, sf_dir)))
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    key = F.concat(F.lit("P"), F.col("user_id").cast("string"), F.lit("/"), S.acts_as(), F.lit("/f.csv"))
+    body = F.when(k % 5 < 3, _body(key)).when(k % 5 == 3, F.lit('{"Records":[]}')).otherwise(F.lit("{not json"))
+    sent = _stream(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("message_id"), body.alias("body"),
+        F.explode(F.sequence(F.lit(0), (k % 8).cast("int"))).alias("again"), F.col("ts").cast("timestamp").alias("ts"),
+    ).select("message_id", "body", (F.col("ts") + F.make_dt_interval(mins=F.col("again"))).alias("arrived_at"))
+    made = _applied(spark, sent, expected, "rejects")
+    return made.select(F.col("message_id").cast("bigint").alias("event_id"), "tries", "state")

@@ -508,6 +508,11 @@ FROM fin, (VALUES ('device', 'merge'), ('intervals', 'preprocess')) v(detail_typ
 
 ORACLE["stream_dedup"] = _with(_SENT) + "SELECT batch_key, file_id FROM once"
 ORACLE["stream_batch_status"] = ORACLE["batch_first_complete"]
+ORACLE["stream_outcomes"] = ORACLE["batch_outcomes"]
+ORACLE["stream_completions"] = ORACLE["batch_first_complete"]
+ORACLE["stream_letters"] = _with() + """
+SELECT event_id, t AS tries, CASE WHEN t > 5 THEN 'dead' ELSE 'again' END AS state
+FROM (SELECT event_id, unnest(range(1, k % 8 + 2)) AS t FROM ev WHERE k % 5 >= 3)"""
 
 _FORMS = """fs AS (
   SELECT event_id AS arrival_id, patient_id, 'questionnaire/f' || event_id // 2 || '.csv' AS file_id,
