@@ -12,8 +12,9 @@ from vitalgrid import constants as K
 from vitalgrid import samples as S
 from vitalgrid.functions import clock, paths
 from vitalgrid.operators import align, audit, bbi, cleaners, hrv, sleep, survey, tracker
-from vitalgrid.plans import device
+from vitalgrid.plans import device, surveys
 from vitalgrid.session import prepare_session, shared_folder
+from vitalgrid.sinks import tables
 from vitalgrid.sources import arrivals as A
 from vitalgrid.sources import lines as L
 from vitalgrid.sources import manifest as M
@@ -461,6 +462,19 @@ def survey_normalise(spark, sf_dir):
     return df.drop("line_no")
 
 
+@query
+def survey_files(spark, sf_dir):
+    """Raw forms to cleaned files to the merged table; forms with a surplus cell are rejected."""
+    text = S.survey_lines(spark, sf_dir)
+    surplus = F.col("source_file").endswith("7.csv") & (F.col("line_no") >= 100) & F.col("line").startswith("UTC,")
+    text = text.withColumn("line", F.when(surplus, F.concat(F.lit("more,"), "line")).otherwise(F.col("line")))
+    home = f"{shared_folder(spark)}/surveys-{uuid.uuid4().hex}"
+    surveys.write_cleaned(surveys.normalise_lines(text)[0], f"{home}/clean")
+    surveys.merge_into(spark, f"{home}/clean", f"{home}/merged")
+    names = ["patient_folder", "patient_id", "timezone", "isoDate", "role", "answer", "time_of_day"]
+    return tables.read_surveys(spark, f"{home}/merged").select(*names)
+
+
 @query
 def survey_preamble(spark, sf_dir):
     text = S.survey_lines(spark, sf_dir)

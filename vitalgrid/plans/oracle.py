@@ -399,6 +399,10 @@ SELECT lpad(hex(conv_id), 8, '0') AS patient_id, 'UTC' AS timezone, sday || ' '
     WHEN shour BETWEEN '17' AND '20' THEN 'evening' ELSE 'night' END AS time_of_day, source_file
 FROM talk"""
 
+ORACLE["survey_files"] = f"""
+SELECT split_part(source_file, '/', 1) AS patient_folder, * EXCLUDE (source_file) FROM ({ORACLE["survey_normalise"]})
+WHERE source_file NOT LIKE '%7.csv'"""
+
 ORACLE["survey_preamble"] = f"""WITH {_TALK}
 SELECT DISTINCT source_file, lpad(hex(conv_id), 8, '0') AS patient_id FROM talk"""
 
