@@ -3,7 +3,7 @@ import random
 import corpus_pipeline
 import pytest
 from compare import connect, difference
-from odd_documents import SMALL
+from odd_documents import SMALL, odd  # noqa: F401
 
 from vitalgrid.llm.queries import ORACLE, QUERIES
 
@@ -81,3 +81,34 @@ def test_short_word_lists_go_and_short_prose_stays(spark):
     kept = {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, SMALL).collect()}
     assert kept & {i for i, _, _ in lists} == set()
     assert kept == {i for i, _, _ in rows}
+
+
+def test_foreign_texts_and_random_letters_go_and_documents_stay(spark):
+    rnd = random.Random(1)
+    words = {
+        "polish": "w roku który został miasto przez jest nie na się do ale tylko jego było przed wszystkie kiedy ludzie dom woda droga szkoła",
+        "russian": "в году который город через есть не на но только его было перед все когда люди дом вода дорога школа работа день",
+        "dutch": "in het jaar dat de stad door is niet op maar alleen zijn was voor alle wanneer mensen huis water weg school werk",
+    }
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = [(-1 - i, " ".join(rnd.choice(w.split()) for _ in range(120)), None, name, 0) for i, (name, w) in enumerate(words.items())]
+    odd.append((-9, " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(120)), None, "random", 0))
+    both = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, both, SMALL).collect()}
+    assert not kept & {r[0] for r in odd}
+    assert kept == {r["doc_id"] for r in docs.where(r"text RLIKE '\\p{L}'").collect()}
+
+
+def test_stages_on_odd_documents(spark, odd):
+    count = lambda df: sorted(str(r["doc_id"]) for r in df.collect())
+    judged = corpus_pipeline.quality_rules(spark, odd, SMALL)
+    assert judged.columns == odd.columns and not {"1", "2", "3"} & set(count(judged))
+    known = corpus_pipeline.language_id(spark, odd, SMALL)
+    assert known.columns == odd.columns and not {"1", "2", "3"} & set(count(known)) and "8" in count(known)
+    left = corpus_pipeline.near_duplicates(spark, odd, SMALL)
+    assert left.columns == odd.columns
+    # copies of long and of repeated rows leave one; texts without words stay
+    assert count(left) == sorted(str(i) for i in (1, 2, 3, 4, 5, 6, None, None, 8, 9, 10))
+    packed = corpus_pipeline.pack(spark, odd, SMALL).toPandas()
+    assert len(packed[packed.doc_id == 8].groupby("doc_id").size()) == 1 and packed.length.gt(0).all()
+    assert int(packed[packed.doc_id == 2].doc_tokens.iloc[0]) == 1

@@ -28,7 +28,9 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = chat.number_turns(rows, "conv_id", "turn", "role", "text").withColumn("score", F.lit(0.0))
     made = chat.format_trees(nodes).withColumn("turns", chat.read_turns(F.col("formatted")))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    learned = F.array_join(F.transform("loss_spans", lambda s: F.get("turns", s["turn"].cast("int"))["text"]), "")
+    # cut out of the formatted text by the mask alone
+    cut = lambda s: F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))
+    learned = F.array_join(F.transform("loss_spans", lambda s: chat.unescape(cut(s))), "")
     return made.select(
         F.col("tree").try_cast("long").alias("conv_id"),
         F.size("turns").cast("long").alias("n_turns"),
