@@ -114,7 +114,7 @@ def merge_folders(summaries: DataFrame, today: str) -> DataFrame:
     if iso is None:
         latest = F.lit(today)
         return df.withColumn("merged_file", _merged_name(latest))
-    df = df.withColumn(iso, clock.iso_date(F.col(iso)))
+    df = df.withColumn(iso, clock.iso_date(F.col(iso).cast("string")))
     names = df.groupBy("folder").agg(F.max(iso).alias("_latest"))
     latest = F.coalesce(clock.iso_date(F.nullif(F.col("_latest"), F.lit(""))), F.lit(today))
     return (

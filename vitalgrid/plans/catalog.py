@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,13 @@ from vitalgrid import constants as K
 from vitalgrid import samples as S
 from vitalgrid.functions import clock, paths
 from vitalgrid.operators import align, audit, bbi, cleaners, hrv, sleep, survey, tracker
-from vitalgrid.plans import device, surveys
+from vitalgrid.plans import device, intervals, runs, surveys
 from vitalgrid.session import prepare_session, shared_folder
 from vitalgrid.sinks import tables
 from vitalgrid.sources import arrivals as A
 from vitalgrid.sources import lines as L
 from vitalgrid.sources import manifest as M
+from vitalgrid.sources import types
 from vitalgrid.streaming import batches, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -452,6 +454,43 @@ def hrv_merge(spark, sf_dir):
     )
 
 
+@query
+def interval_files(spark, sf_dir):
+    """Raw files of all kinds to preprocessed files, read back with their types, to HRV rows with their merged file."""
+    home = f"{shared_folder(spark)}/intervals-{uuid.uuid4().hex}"
+    intervals.preprocess(S.interval_files(spark, sf_dir), home)
+    rows, _ = intervals.merged(intervals.read_preprocessed(spark, home)[0], TODAY)
+    return rows.select(
+        "source_file", "participantId_date", "participant_id", "isoDate", *hrv.METRICS, "folder", "merged_file"
+    )
+
+
+@query
+def column_types(spark, sf_dir):
+    """The type of each column in each file, and over all files."""
+    rows = S.mixed_table(spark, sf_dir)
+    names = rows.columns[2:]
+    own = types.file_types(rows, names)
+    return own.unionByName(types.file_types(rows.withColumn("source_file", F.lit("*")), names))
+
+
+@query
+def typed_cells(spark, sf_dir):
+    """The same table with the types that hold all files' values."""
+    rows = S.mixed_table(spark, sf_dir).drop("mixed")
+    return types.typed(rows, types.common_types(rows, rows.columns[2:]))
+
+
+@query
+def run_summaries(spark, sf_dir):
+    """What every flow took in, wrote and removed, counted while it wrote."""
+    home = f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}"
+    told = [runs.clean(lines, t, NOW_MS, f"{home}/device", "one") for t, lines in S.device_files(spark, sf_dir).items()]
+    told.append(runs.preprocess(S.interval_files(spark, sf_dir), f"{home}/intervals", "one"))
+    told.append(runs.normalise(S.survey_lines(spark, sf_dir), f"{home}/surveys", "one"))
+    return reduce(DataFrame.unionByName, told)
+
+
 # --- questionnaires ---------------------------------------------------------
 
 

@@ -391,6 +391,65 @@ SELECT "participantId_date", left("isoDate", 10) AS "isoDate", mean_bbi, record_
   'merged_file_' || replace(max(left("isoDate", 10)) OVER (PARTITION BY folder), '-', '') || '.csv' AS merged_file
 FROM (SELECT *, regexp_replace(source_file, '/[^/]*$', '') AS folder FROM hrv)"""
 
+_FORM = "user_id % 4"
+_THREE = f"""raw AS (SELECT *, {_BBI} AS source_file FROM ev WHERE {_FORM} <> 3),
+lagged AS (SELECT *, CASE WHEN {_FORM} = 0 THEN value + 600 ELSE CAST(ms - lag(ms) {_W} AS DOUBLE) END AS bbi FROM raw),
+beats AS (SELECT *, lead(bbi) {_W} AS nxt FROM lagged WHERE bbi IS NOT NULL),
+b AS (SELECT *, CASE WHEN nxt IS NULL THEN 0.0 ELSE bbi - nxt END AS bbi_diff FROM beats)"""
+
+ORACLE["interval_files"] = _with(_THREE, _hrv("bbi_diff")) + f"""
+SELECT source_file, "participantId_date", participant_id,
+  CASE WHEN {_FORM.replace("user_id", "('0x' || participant_id)::BIGINT")} < 2 THEN left("isoDate", 10) END AS "isoDate",
+  sdrr, rmssd, rr50, prr50, mean_bbi, heart_rate, record_count, folder,
+  CASE WHEN {_FORM.replace("user_id", "('0x' || participant_id)::BIGINT")} < 2
+    THEN 'merged_file_' || replace(max(left("isoDate", 10)) OVER (PARTITION BY folder), '-', '') || '.csv'
+    ELSE 'merged_file_20250101.csv' END AS merged_file
+FROM (SELECT *, regexp_replace(source_file, '/[^/]*$', '') AS folder FROM hrv)
+UNION ALL
+SELECT source_file, pid || '_unknown', pid, NULL, 0.0, 0.0, 0, 0.0, 0.0, 0.0, count(*),
+  regexp_replace(source_file, '/[^/]*$', ''), 'merged_file_20250101.csv'
+FROM (SELECT pid, {_BBI} AS source_file FROM ev WHERE {_FORM} = 3) GROUP BY source_file, pid"""
+
+_MIXED = f"""m AS (SELECT *, {_BBI} AS source_file,
+  CASE WHEN k % 5 = 0 THEN '' ELSE CASE {_FORM} WHEN 0 THEN CAST(k AS VARCHAR) WHEN 1 THEN CAST(ms AS VARCHAR)
+    WHEN 2 THEN printf('%.3f', value) ELSE iso END END AS mixed,
+  CASE WHEN k % 3 = 0 THEN iso ELSE strftime(ts, '%Y-%m-%d') END AS at_text,
+  CASE WHEN k = 1 THEN '1' END AS rare FROM ev)"""
+
+
+def _column_types(file: str) -> str:
+    known = "mixed <> ''"
+    return f"""
+SELECT {file} AS source_file, unnest(['whole', 'mixed', 'when', 'flag', 'word', 'rare']) AS "column",
+  unnest(['int',
+    CASE WHEN count(*) FILTER ({known}) = 0 THEN 'string'
+      WHEN bool_and(mixed SIMILAR TO '[0-9]+') FILTER ({known}) AND max(TRY_CAST(mixed AS BIGINT)) < 2147483648 THEN 'int'
+      WHEN bool_and(mixed SIMILAR TO '[0-9]+') FILTER ({known}) THEN 'bigint'
+      WHEN bool_and(TRY_CAST(mixed AS DOUBLE) IS NOT NULL) FILTER ({known}) THEN 'double'
+      WHEN bool_and(TRY_CAST(mixed AS TIMESTAMP) IS NOT NULL) FILTER ({known}) THEN 'timestamp' ELSE 'string' END,
+    CASE WHEN max(length(at_text)) = 10 THEN 'date' ELSE 'timestamp' END, 'boolean', 'string',
+    CASE WHEN count(rare) > 0 THEN 'int' ELSE 'string' END]) AS "type"
+FROM m GROUP BY {file}"""
+
+
+ORACLE["column_types"] = _with(_MIXED) + _column_types("source_file") + "\nUNION ALL" + _column_types("'*'")
+
+ORACLE["typed_cells"] = _with(_MIXED) + """
+SELECT source_file, event_id AS line_no, CAST(k AS INTEGER) AS whole, CAST(at_text AS TIMESTAMP) AS "when", k % 2 = 0 AS flag,
+  event_type AS word, CAST(rare AS INTEGER) AS rare
+FROM m"""
+
+ORACLE["run_summaries"] = _with(_THREE) + f"""
+SELECT kind AS flow, count(DISTINCT {_file("kind")}) AS files_in, 0 AS files_rejected, count(*) AS rows_in,
+  CASE kind WHEN 'garmin-connect-sleep-stage' THEN (SELECT count(*) FROM ({ORACLE["sleep_expand"]})) ELSE count(*) END AS rows_out,
+  CASE kind WHEN 'garmin-connect-sleep-stage' THEN NULL ELSE 0 END AS removed
+FROM ev WHERE kind IS NOT NULL GROUP BY kind
+UNION ALL
+SELECT 'intervals', (SELECT count(DISTINCT {_BBI}) FROM ev), 0, (SELECT count(*) FROM ev), n, (SELECT count(*) FROM ev) - n
+FROM (SELECT (SELECT count(*) FROM b) + (SELECT count(*) FROM ev WHERE {_FORM} = 3) AS n)
+UNION ALL
+SELECT 'surveys', count(DISTINCT conv_id), 0, count(*), count(*), 0 FROM conversations"""
+
 # --- questionnaires ---------------------------------------------------------
 
 ORACLE["survey_normalise"] = f"""WITH {_TALK}

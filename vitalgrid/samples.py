@@ -298,3 +298,36 @@ def device_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         parts.append(device_lines(df, ",".join(names), names))
         out[data_type] = reduce(DataFrame.unionByName, parts)
     return out
+
+
+def interval_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as the lines of interval files, by user in four forms.
+
+    With intervals, without them, as pairs of a zone line and an epoch, and as
+    plain lines.
+    """
+    form = F.conv(F.substring(F.substring_index("source_file", "_", -1), 1, 8), 16, 10).cast("bigint") % 4
+    rows = bbi_rows(spark, sf_dir, native=True)
+    names = ["timezone", "unixTimestampInMs", "isoDate", "bbi"]
+    native = device_lines(rows.where(form == 0), ",".join(names), names)
+    bare = device_lines(rows.where(form == 1), ",".join(names[:3]), names[:3])
+    both = F.posexplode(F.array(F.col("timezone"), F.col("unixTimestampInMs").cast("string")))
+    pairs = rows.where(form == 2).select("source_file", "line_no", both.alias("p", "line")).select(
+        "source_file", (F.col("line_no") * 2 + F.col("p")).alias("line_no"), "line"
+    )
+    plain = rows.where(form == 3).select("source_file", "line_no", F.concat("isoDate", F.lit(",x")).alias("line"))
+    return reduce(DataFrame.unionByName, [native, bare, pairs, plain])
+
+
+def mixed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of many kinds, files of a user and day: what type a column has differs between files."""
+    k, pick = F.col("k"), F.col("user_id") % 4
+    text = F.when(pick == 0, k.cast("string")).when(pick == 1, F.col("ms").cast("string"))
+    text = text.when(pick == 2, F.format_string("%.3f", "value")).otherwise(F.col("iso"))
+    when = F.when(k % 3 == 0, F.col("iso")).otherwise(F.date_format("at", "yyyy-MM-dd"))
+    return events(spark, sf_dir).select(
+        device_path(F.lit(K.BBI_FOLDER)).alias("source_file"), F.col("event_id").alias("line_no"), k.cast("string").alias("whole"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(text).alias("mixed"), when.alias("when"),
+        F.when(k % 2 == 0, F.lit("true")).otherwise(F.lit("False")).alias("flag"), F.col("event_type").alias("word"),
+        F.when(k == 1, k.cast("string")).alias("rare"),
+    )
