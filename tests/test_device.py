@@ -131,8 +131,8 @@ def brute_alignment(types):
     return out
 
 
-@pytest.mark.parametrize("seed,crowded", [(0, 1024), (0, 1), (1, 1024), (1, 1), (2, 2), (3, 1)])
-def test_alignment_against_product(spark, seed, crowded):
+@pytest.mark.parametrize("seed,crowded,piece", [(0, 1024, 1 << 16), (0, 1, 1), (0, 1024, 1), (1, 1024, 1 << 16), (1, 1024, 3), (2, 2, 7), (3, 1, 2)])
+def test_alignment_against_product(spark, seed, crowded, piece):
     rnd = random.Random(seed)
     chosen = [K.HEART_RATE, K.STRESS, K.PULSE_OX]
     types = [[(rnd.choice(["m1", "m2", "m3", None] if seed % 2 else ["m1", "m2", "m3", "m4"]),
@@ -142,7 +142,7 @@ def test_alignment_against_product(spark, seed, crowded):
                                        f"participant_id string, timestamp string, unixTimestampInMs bigint, {metric[t]} string")
               for t, rows in zip(chosen, types)}
     got = Counter((r["timestamp"], r["unixTimestampInMs"], *[r[metric[t]] for t in chosen])
-                  for r in align.aligned(frames, crowded=crowded).collect())
+                  for r in align.aligned(frames, crowded=crowded, piece=piece).collect())
     assert got == brute_alignment(types)
     if not any(k is None for rows in types for k, _, _ in rows):
         assert align.expected_rows(frames).agg(F.sum("rows")).first()[0] == sum(got.values())
@@ -157,6 +157,18 @@ def test_fanout_of_sixteen(spark):
     assert align.aligned(frames, mode="latest").collect()[0]["beatsPerMinute"] == 1
 
 
+def test_wide_key_is_cut_by_result_rows(spark):
+    made = lambda m, n: spark.range(n).selectExpr(
+        "'p' AS participant_id", "'None' AS timestamp", "CAST(NULL AS bigint) AS unixTimestampInMs", f"CAST(id AS string) AS {m}")
+    frames = {K.HEART_RATE: made("beatsPerMinute", 1000), K.STRESS: made("stressLevel", 300)}
+    assert align.expected_rows(frames).first()["rows"] == 300_000
+    # more than a piece, and no list long enough for the join path
+    rows = align.aligned(frames, piece=1 << 12)
+    assert rows.groupBy("beatsPerMinute", "stressLevel").count().agg(F.count("*"), F.max("count")).first()[:] == (300_000, 1)
+    per_task = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 150_000
+
+
 def test_merge_expectations(spark):
     day = "2025-01-01 "
     def df(cols, rows):

@@ -48,6 +48,8 @@ NO_SLEEP_COLUMN = "unknown"
 
 # more readings of one type in one minute than this take the join path
 CROWDED = 1024
+# a key that gives more rows than this is cut by its result rows
+PIECE_ROWS = 1 << 16
 MOST_BROADCAST = 50_000
 
 
@@ -129,14 +131,14 @@ def _metric_columns(value_of) -> list[Column]:
 
 
 def aligned(
-    frames: Frames, mode: str = "fanout", crowded: int = CROWDED
+    frames: Frames, mode: str = "fanout", crowded: int = CROWDED, piece: int = PIECE_ROWS
 ) -> DataFrame:
     """The aligned table, with the columns of ``constants.ALIGNED_COLUMNS``."""
-    return finish(align_rows(frames, mode, crowded))
+    return finish(align_rows(frames, mode, crowded, piece))
 
 
 def align_rows(
-    frames: Frames, mode: str = "fanout", crowded: int = CROWDED
+    frames: Frames, mode: str = "fanout", crowded: int = CROWDED, piece: int = PIECE_ROWS
 ) -> DataFrame:
     prepared = prepare_all(frames)
     stacked = _stack(prepared)
@@ -154,21 +156,25 @@ def align_rows(
     # readings without a key are looked for first, in one narrow aggregate over
     # the keys: the former must not be gathered into one row.
     has_key = F.col("participant_id").isNotNull() & F.col("timestamp").isNotNull()
+    kinds = range(len(K.DEVICE_TYPES))
+    numbers_of = [F.count_if(F.col("kind") == i).alias(f"n{i}") for i in kinds]
+    most = F.greatest(*[F.col(f"n{i}") for i in kinds])
+    ways = reduce(lambda a, b: a * b, [F.pow(F.greatest(F.lit(1), F.col(f"n{i}")), F.lit(2)) for i in kinds])
     found = (
-        stacked.groupBy(*KEYS, "kind")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.count_if(has_key & (F.col("n") > crowded)).alias("hot"), F.count_if(~has_key).alias("loose"))
+        stacked.groupBy(*KEYS)
+        .agg(*numbers_of)
+        .agg(
+            F.count_if(has_key & (most > crowded)).alias("hot"),
+            F.count_if(has_key & (most <= crowded) & (ways > piece)).alias("wide"),
+            F.count_if(~has_key).alias("loose"),
+        )
         .first()
     )
 
     calm = keyed
     parts = []
     if found["hot"]:
-        kinds = range(len(K.DEVICE_TYPES))
-        hot = keyed.groupBy(*KEYS).agg(
-            *[F.count_if(F.col("kind") == i).alias(f"n{i}") for i in kinds]
-        ).where(F.greatest(*[F.col(f"n{i}") for i in kinds]) > crowded)
-        hot = settle(hot)
+        hot = settle(keyed.groupBy(*KEYS).agg(*numbers_of).where(most > crowded))
         # broadcast only after the check of its size
         near = F.broadcast(hot) if found["hot"] <= MOST_BROADCAST else hot
         calm = keyed.join(near.select(*KEYS), KEYS, "left_anti")
@@ -176,7 +182,9 @@ def align_rows(
         parts.append(_multiply(hot, crowd, prepared, crowded))
     if found["loose"]:
         parts.append(_without_key(stacked))
-    return reduce(DataFrame.unionByName, parts, _gather(calm, prepared))
+    # a fixed number of tasks: pieces are small as input, and would be put together again by their bytes
+    tasks = int(stacked.sparkSession.conf.get("spark.sql.shuffle.partitions")) if found["wide"] else None
+    return reduce(DataFrame.unionByName, parts, _gather(calm, prepared, piece, tasks))
 
 
 def _without_key(stacked: DataFrame) -> DataFrame:
@@ -197,10 +205,11 @@ def _without_key(stacked: DataFrame) -> DataFrame:
     )
 
 
-def _gather(keyed: DataFrame, prepared: Mapping[str, DataFrame]) -> DataFrame:
+def _gather(keyed: DataFrame, prepared: Mapping[str, DataFrame], piece: int, tasks: int | None) -> DataFrame:
     """One shuffle: short lists per key and type, then their combinations.
 
-    Only called for keys whose lists have at most ``crowded`` entries.
+    Only called for keys whose lists have at most ``crowded`` entries. Keys
+    that give more rows than ``piece`` (``tasks``: if there are any) are cut by result rows.
     """
     aggs = []
     for t in prepared:
@@ -210,12 +219,15 @@ def _gather(keyed: DataFrame, prepared: Mapping[str, DataFrame]) -> DataFrame:
         aggs.append(F.collect_list(F.when(mine, _payload(t))).alias(f"p{i}"))
     df = keyed.groupBy(*KEYS).agg(*aggs)
     order = [K.DEVICE_TYPES.index(t) for t in prepared]
-    for i in order:
-        df = df.withColumn(f"e{i}", F.explode_outer(f"e{i}"))
+    lists = [f"e{i}" for i in order] + [f"p{i}" for i in order]
+    if tasks is None:
+        df = _exploded(df, lists)
+    else:
+        ways = reduce(lambda a, b: a * b, [F.greatest(F.lit(1), F.size(c)).cast("double") for c in lists])
+        df = df.withColumn("_rows", ways)
+        few = _exploded(df.where(F.col("_rows") <= piece).drop("_rows"), lists)
+        df = few.unionByName(_unranked(df.where(F.col("_rows") > piece), lists, piece, tasks))
     df = df.withColumn("unixTimestampInMs", F.coalesce(*[F.col(f"e{i}.epoch") for i in order]))
-    df = df.drop(*[f"e{i}" for i in order])
-    for i in order:
-        df = df.withColumn(f"p{i}", F.explode_outer(f"p{i}"))
 
     def value(t: str, m: str, kind: str, default) -> Column:
         if t not in prepared:
@@ -226,6 +238,34 @@ def _gather(keyed: DataFrame, prepared: Mapping[str, DataFrame]) -> DataFrame:
     return df.select(*KEYS, "unixTimestampInMs", *_metric_columns(value))
 
 
+def _exploded(df: DataFrame, lists: list[str]) -> DataFrame:
+    """All combinations of the entries of the lists, one list after the other."""
+    for c in lists:
+        df = df.withColumn(c, F.explode_outer(c))
+    return df
+
+
+def _unranked(df: DataFrame, lists: list[str], piece: int, tasks: int) -> DataFrame:
+    """The same combinations by their numbers, for keys that have many.
+
+    The combinations of a key are numbered from 0; the digits of a number, to
+    the lists' lengths as bases, are the places in the lists. A key is cut into
+    runs of ``piece`` numbers, which are dealt anew with the short lists, so a
+    task makes about ``piece`` rows at a time whatever key they belong to.
+    """
+    size = lambda c: F.greatest(F.lit(1), F.size(c)).cast("bigint")
+    base = F.lit(1).cast("bigint")
+    for i, c in enumerate(lists):
+        df = df.withColumn(f"_b{i}", base)
+        base = F.col(f"_b{i}") * size(c)
+    df = df.withColumn("_all", base)
+    df = spread.repeat_rows(df, F.ceil(F.col("_all") / F.lit(piece)), "_piece").repartition(tasks, *KEYS, "_piece")
+    start = F.col("_piece") * F.lit(piece)
+    df = df.withColumn("_no", F.explode(F.sequence(start, F.least(start + (piece - 1), F.col("_all") - 1))))
+    digits = [F.get(c, (F.expr(f"_no div _b{i}") % size(c)).cast("int")) for i, c in enumerate(lists)]
+    return df.select(*KEYS, *[d.alias(c) for d, c in zip(digits, lists)])
+
+
 def _multiply(
     hot: DataFrame, crowd: DataFrame, prepared: Mapping[str, DataFrame], piece: int
 ) -> DataFrame:
