@@ -19,7 +19,7 @@ def rows_with_ties(seed, n=400):
     return out
 
 
-@pytest.mark.parametrize("width,heavy", [(10_000, 1 << 20), (10_000, 8), (1_000, 5), (1, 2), (1 << 40, 10)])
+@pytest.mark.parametrize("width,heavy", [(10_000, 1 << 20), (10_000, 8), (1_000, 5), (1, 2), (1 << 40, 10), (10_000, 120)])
 def test_neighbours_equal_plain_window(spark, width, heavy):
     df = spark.createDataFrame(rows_with_ties(width + heavy), "g string, ms bigint, no bigint, v double")
     got = spread.with_neighbours(
@@ -31,6 +31,13 @@ def test_neighbours_equal_plain_window(spark, width, heavy):
     assert sorted(got.select(*want.columns).collect(), key=key) == sorted(want.collect(), key=key)
 
 
+def test_groups_of_bounded_size_take_one_exchange_of_the_rows(spark):
+    df = spark.createDataFrame(rows_with_ties(1), "g string, ms bigint, no bigint, v double")
+    got = spread.with_neighbours(df, ["g"], "ms", "no", "v", previous="p")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 @pytest.mark.parametrize("chunk", [1, 3, 1000])
 def test_row_index_is_dense(spark, chunk):
     nos = random.Random(chunk).sample(range(50), 20)

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalgrid.session import settle
+
 CHUNK_ROWS = 1 << 18
 HEAVY_ROWS = 1 << 20
 LANES = 64
@@ -145,12 +147,34 @@ def with_neighbours(
 ) -> DataFrame:
     """``value`` of the row before and after, per group, nulls of ``order`` first.
 
-    Equal to lag and lead over the whole group, but the sort works on cells of
-    at most about ``heavy_rows`` rows (see ``_cells``; ``width`` is a day for
-    epochs in ms). The first row of a cell takes its value from the last row of
-    the cell before, found among one edge row per cell.
+    Equal to lag and lead over the whole group. Groups with at most
+    ``heavy_rows`` rows are sorted whole: one count and one exchange of the
+    rows. Larger ones are listed by the count and sorted in cells of at most
+    about that many rows (see ``_cells``; ``width`` is a day for epochs in ms).
     """
     group = list(group)
+    listed = settle(heavy_keys(rows, group, heavy_rows))
+    inside = Window.partitionBy(*group).orderBy(F.col(order).asc_nulls_first(), tie)
+    if listed.isEmpty():
+        return _lag_lead(rows, inside, value, previous, following)
+    side = listed.select(*[F.col(c).alias(f"_h_{c}") for c in group])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in group])
+    light = _lag_lead(rows.join(side, same, "left_anti"), inside, value, previous, following)
+    crowded = rows.join(side, same, "left_semi")
+    heavy = _neighbours_in_cells(crowded, group, order, tie, value, previous, following, width, heavy_rows)
+    return light.unionByName(heavy)
+
+
+def _lag_lead(rows: DataFrame, along: Window, value: str, previous: str | None, following: str | None) -> DataFrame:
+    found = {previous: F.lag(value).over(along), following: F.lead(value).over(along)}
+    return rows.withColumns({name: column for name, column in found.items() if name})
+
+
+def _neighbours_in_cells(
+    rows: DataFrame, group: list[str], order: str, tie: str, value: str,
+    previous: str | None, following: str | None, width: int, heavy_rows: int,
+) -> DataFrame:
+    """The first row of a cell takes its value from the last row of the cell before, found among one edge row per cell."""
     cut = _cells(rows, group, order, tie, width, heavy_rows)
     spot = F.struct(order, tie)
     edge = F.struct(F.col(value).alias("v"))

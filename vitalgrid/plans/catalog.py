@@ -153,7 +153,8 @@ def parse_marker_header(spark, sf_dir):
     """Questionnaire files: header by its first word, answers over many lines."""
     text = S.survey_lines(spark, sf_dir)
     names = ["timezone", "unixTimestampInMs", "isoDate", "role", "answer"]
-    rows = L.records(text, L.survey_headers(text), names, len(names), joined=True)
+    facts, found = L.survey_records(text)
+    rows = L.records(found, facts, names, len(names))
     return rows.select("source_file", *names)
 
 

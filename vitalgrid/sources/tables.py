@@ -40,11 +40,11 @@ def text_files(lines: DataFrame, names: Sequence[str] | None = None, keep_empty:
     or with a record of more cells than names; a line break in a quoted field
     belongs to its cell.
     """
-    facts = settle(L.named_headers(lines))
-    rejects = L.rejected(facts).unionByName(L.unbalanced(lines, facts))
+    facts, found = L.named_records(lines)
+    rejects = L.rejected(facts).unionByName(L.unclosed(facts))
     width = L.header_width(facts)
     names = list(names or L.header_names(facts, width))
-    rows = L.records(lines, facts, names, width, joined=True)
+    rows = L.records(found, facts, names, width)
     if not keep_empty:
         return rows, rejects
     # empty and absent differ: an absent column is null for the whole file
