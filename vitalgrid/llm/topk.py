@@ -1,16 +1,21 @@
 """Exact top-k search by inner product: a Voronoi join.
 
-Queries belong to the cell of their nearest pivot. A summary of each cell (its
-radius ``r`` around the pivot ``p``) bounds the score of every row ``x`` for all
-queries of the cell: ``p.x - r|x| <= q.x <= p.x + r|x|``. The (k+1)-th largest
-lower bound over all ids (each with its best row) is a score that each query of
-the cell surely reaches with k other rows, so only rows whose upper bound gets
-there are sent to the cell. There they are solved exactly, with integers.
-
-Cells are as many as the queries fill blocks. A cell with more queries is cut
-into several blocks, and a cell's rows into shards, so neither a crowded cell
-nor many copies of one vector meet in one task; the best k of the shards are
-merged at the end. Only pivots and one bound a cell come to the driver.
+Pivots are as many as the root of the row count, up to a bound. Queries and
+rows belong to the cell of their nearest pivot. A cell of queries is summarised
+by its radius ``r`` around its pivot ``p``, a cell of rows by its number of
+rows, its largest distance from the pivot, its longest vector, and the k+1 rows
+that score best with the pivot. For every row ``x`` and all queries ``q`` of a
+cell ``p.x - r|x| <= q.x <= p.x + r|x|``; the (k+1)-th largest lower bound over
+the rows of the summaries (each id once) is a score that each query of the cell
+surely reaches with k other rows. A cell of rows whose summary cannot reach it
+is left out as a whole; of the others those rows are sent whose own upper bound
+does. They are solved exactly, with integers.
+
+Cells of queries that lie together share a group, so a row needed by many cells
+is sent once for each group of about ``block`` queries. A cell with more queries
+is cut into several blocks, and a group's rows into shards, so neither a crowded
+cell nor many copies of one vector meet in one task; the best k of the shards
+are merged at the end. The driver sees the pivots and a few numbers a cell.
 
 Defined results: vectors that are null, empty, or hold null or non-finite
 components take no part, nor do rows without an id or of another dimension than
@@ -22,6 +27,7 @@ read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalgrid.session import scratch, settle
+
 #: Products of integers below this, summed over 4096 components, are exact in doubles.
 EXACT = 1 << 20
 
@@ -40,6 +48,7 @@ class Search:
     #: Queries of a block and rows of a shard: the size of a local problem.
     block: int = 1024
     shard: int = 32_768
+    #: Bound of the pivots, and so of what reaches the driver: a vector and a few numbers each.
     most_cells: int = 1024
 
 
@@ -69,21 +78,105 @@ def _pivots(rows: DataFrame, n: int) -> np.ndarray:
     return np.unique(np.array([r["v"] for r in found], np.float64), axis=0)
 
 
-def _radii(queries: DataFrame, pivots: np.ndarray) -> np.ndarray:
+def _query_cells(queries: DataFrame, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Radius (-1 without queries) and number of queries of each cell."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        most = np.full(len(pivots), -1.0)
+        most, number = np.full(len(pivots), -1.0), np.zeros(len(pivots), np.int64)
         for batch in batches:
             if batch.num_rows:
                 x = matrix(batch.column(1)).astype(np.float64)
                 cell = _cells(x, pivots)
                 np.maximum.at(most, cell, np.sqrt(((x - pivots[cell]) ** 2).sum(1)))
-        at = np.flatnonzero(most >= 0)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(most[at])], ["cell", "radius"])
+                np.add.at(number, cell, 1)
+        at = np.flatnonzero(number)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(most[at]), pa.array(number[at])], ["cell", "radius", "n"])
+
+    radii, number = np.full(len(pivots), -1.0), np.zeros(len(pivots), np.int64)
+    found = queries.mapInArrow(run, "cell bigint, radius double, n bigint").groupBy("cell")
+    for r in found.agg(F.max("radius").alias("radius"), F.sum("n").alias("n")).collect():
+        radii[r["cell"]], number[r["cell"]] = r["radius"], r["n"]
+    return radii, number
 
-    radii = np.full(len(pivots), -1.0)
-    for r in queries.mapInArrow(run, "cell bigint, radius double").groupBy("cell").agg(F.max("radius").alias("radius")).collect():
-        radii[r["cell"]] = r["radius"]
-    return radii
+
+def _row_cells(data: DataFrame, pivots: np.ndarray, k: int) -> tuple[dict[str, np.ndarray], DataFrame]:
+    """Summaries of the cells of rows: numbers for the driver, and a table of (id, v).
+
+    The numbers are ``n``, ``most`` (largest distance from the pivot) and
+    ``longest`` (length of a vector); the table holds for each cell the rows of
+    the k+1 ids that score best with its pivot.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, n = len(pivots), np.zeros(len(pivots), np.int64)
+        most, longest = np.full(cells, -1.0), np.full(cells, -1.0)
+        best: dict[int, dict[int, float]] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, x = batch.column(0).to_numpy(), matrix(batch.column(1)).astype(np.float64)
+            cell = _cells(x, pivots)
+            np.add.at(n, cell, 1)
+            np.maximum.at(most, cell, np.sqrt(((x - pivots[cell]) ** 2).sum(1)))
+            np.maximum.at(longest, cell, np.sqrt((x**2).sum(1)))
+            score = (x * pivots[cell]).sum(1)
+            order = np.lexsort((-score, cell))
+            borders = np.flatnonzero(np.diff(cell[order], prepend=-1, append=cells))
+            for start, end in zip(borders[:-1], borders[1:]):
+                kept = best.setdefault(int(cell[order[start]]), {})
+                for at in order[start:end]:
+                    if len(kept) > k and score[at] <= min(kept.values()):
+                        break
+                    i = int(ids[at])
+                    kept[i] = max(kept.get(i, -np.inf), float(score[at]))
+                    if len(kept) > k + 1:
+                        del kept[min(kept, key=kept.get)]
+        for c, kept in best.items():
+            same = [n[c], most[c], longest[c]]
+            first = pa.array([True] + [False] * (len(kept) - 1))
+            columns = [pa.array([v] * len(kept)) for v in (c, *same)]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, first, pa.array(kept.keys(), pa.int64()), pa.array(kept.values(), pa.float64())],
+                ["cell", "n", "most", "longest", "first", "id", "score"],
+            )
+
+    told = data.mapInArrow(run, "cell bigint, n bigint, most double, longest double, first boolean, id bigint, score double")
+    told = settle(told)
+    numbers = {"n": np.zeros(len(pivots), np.int64), "most": np.full(len(pivots), -1.0), "longest": np.full(len(pivots), -1.0)}
+    sums = told.where("first").groupBy("cell").agg(F.sum("n").alias("n"), F.max("most").alias("most"), F.max("longest").alias("longest"))
+    for r in sums.collect():
+        for name, column in numbers.items():
+            column[r["cell"]] = r[name]
+    rank = F.row_number().over(Window.partitionBy("cell").orderBy(F.col("score").desc(), "id"))
+    ids = told.groupBy("cell", "id").agg(F.max("score").alias("score")).withColumn("rank", rank).where(F.col("rank") <= k + 1)
+    # at most k + 1 ids for each of the bounded number of cells
+    members = data.join(F.broadcast(ids.select("id").distinct()), "id", "left_semi")
+    return numbers, members.distinct()
+
+
+def _needed(pivots: np.ndarray, radii: np.ndarray, numbers: dict[str, np.ndarray], reached: np.ndarray) -> np.ndarray:
+    """For each cell of queries the cells of rows whose summary reaches its bound."""
+    length = np.sqrt((pivots**2).sum(1))
+    middle = pivots @ pivots.T
+    spread = radii[:, None] * length + (length + radii)[:, None] * numbers["most"]
+    upper = np.minimum(middle + spread, (length + radii)[:, None] * numbers["longest"])
+    upper = upper + 1e-9 * (np.abs(middle) + np.abs(spread)) + 1e-6
+    return (upper >= reached[:, None]) & (radii >= 0)[:, None] & (numbers["n"] > 0)
+
+
+def _groups(pivots: np.ndarray, number: np.ndarray, block: int) -> np.ndarray:
+    """The group of each cell: cells are halved along their widest dimension until a part has at most ``block`` queries."""
+    group = np.zeros(len(pivots), np.int64)
+    parts, made = [np.flatnonzero(number)], 0
+    while parts:
+        cells = parts.pop()
+        if len(cells) < 2 or number[cells].sum() <= block:
+            group[cells], made = made, made + 1
+            continue
+        x = pivots[cells]
+        order = cells[np.argsort(x[:, np.argmax(x.max(0) - x.min(0))], kind="stable")]
+        parts += [order[: len(order) // 2], order[len(order) // 2 :]]
+    return group
 
 
 def _bounds(x: np.ndarray, pivots: np.ndarray, radii: np.ndarray, sign: int) -> np.ndarray:
@@ -170,28 +263,41 @@ def search(
     rows = rows.where(F.size("v") == dim)
     queries = rows.where("asks").select("id", "v").distinct()
     data = rows.select("id", "v")
-    pivots = _pivots(data, max(1, min(own.most_cells, -(-asked // own.block))))
-    radii = _radii(queries, pivots)
-    reached = _reached(data, pivots, radii, own.k)
+    if not asked:
+        return spark.createDataFrame([], schema)
+    with scratch(spark):
+        pivots = _pivots(data, max(1, min(own.most_cells, math.isqrt(n))))
+        radii, number = _query_cells(queries, pivots)
+        numbers, members = _row_cells(data, pivots, own.k)
+        reached = _reached(members, pivots, radii, own.k)
+    needed = _needed(pivots, radii, numbers, reached)
+    group = _groups(pivots, number, own.block)
+    groups = int(group.max()) + 1
+    cells_of = [np.flatnonzero((group == g) & (number > 0)) for g in range(groups)]
     shards = -(-n // own.shard)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 cell = _cells(matrix(batch.column(1)).astype(np.float64), pivots)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), *batch.columns], ["cell", "id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(group[cell]), *batch.columns], ["cell", "id", "v"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = needed.any(axis=0)
         for batch in batches:
-            if batch.num_rows:
-                high = _bounds(matrix(batch.column(1)).astype(np.float64), pivots, radii, 1)
-                for cell in np.flatnonzero(radii >= 0):
-                    kept = batch.filter(pa.array(high[:, cell] >= reached[cell]))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(kept.num_rows, cell)), *kept.columns], ["cell", "id", "v"])
+            if not batch.num_rows:
+                continue
+            x = matrix(batch.column(1)).astype(np.float64)
+            cell = _cells(x, pivots)
+            at = np.flatnonzero(wanted[cell])
+            reaches = (_bounds(x[at], pivots, radii, 1) >= reached) & needed[:, cell[at]].T
+            for g, cells in enumerate(cells_of):
+                kept = batch.take(pa.array(at[reaches[:, cells].any(axis=1)]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(kept.num_rows, g)), *kept.columns], ["cell", "id", "v"])
 
     placed = queries.mapInArrow(place, "cell bigint, id bigint, v array<bigint>")
-    counts = {r["cell"]: -(-r["count"] // own.block) for r in placed.groupBy("cell").count().collect()}
-    blocks = F.element_at(F.lit([counts.get(i, 1) for i in range(len(pivots))]), (F.col("cell") + 1).cast("int"))
+    counts = [max(1, -(-int(number[cells].sum()) // own.block)) for cells in cells_of]
+    blocks = F.element_at(F.lit(counts), (F.col("cell") + 1).cast("int"))
     asking = placed.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     )
