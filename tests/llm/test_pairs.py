@@ -172,6 +172,47 @@ def test_bounds_prune(spark):
     assert ((high >= reached).sum(0) == 50).all()
 
 
+def clustered(clusters=16, each=60, dim=16):
+    """Tight groups of vectors far from each other."""
+    rnd = random.Random(9)
+    return [(i, [2.0 * (j == i % clusters) + rnd.gauss(0, 0.01) for j in range(dim)]) for i in range(clusters * each)]
+
+
+def test_summaries_leave_cells_of_rows_out(spark):
+    import numpy as np
+
+    rows = clustered()
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    data = spark.createDataFrame(whole, "id long, v array<long>").repartition(3)
+    pivots = np.array([v for _, v in whole[:16]], float)
+    radii, number = topk._query_cells(data.where("id % 50 = 0"), pivots)
+    numbers, members = topk._row_cells(data, pivots, 5)
+    assert number.sum() == 20 and (number > 0).sum() > 1 and (numbers["n"] == 60).all()
+    # of each cell the six ids that score best with its pivot
+    score = lambda v, p: sum(a * b for a, b in zip(v, p))
+    for c in range(16):
+        best = sorted((-score(v, whole[c][1]), i) for i, v in whole if i % 16 == c)[:6]
+        assert {i for _, i in best} <= {r["id"] for r in members.collect()}
+    assert members.count() == 16 * 6
+    needed = topk._needed(pivots, radii, numbers, topk._reached(members, pivots, radii, 5))
+    # every cell of queries needs its own cell of rows, and no other reaches its bound
+    assert (needed == np.diag(number > 0)).all()
+    assert sorted(map(tuple, topk.search(data.select(F.col("id").alias("vec_id"), F.col("v").alias("embedding")), F.col("vec_id") % 50 == 0,
+                                         topk.Search(block=3), scale=1.0).collect())) == exact([(i, [x / 256 for x in v]) for i, v in whole], 5)
+
+
+def test_groups_hold_about_a_block_of_queries():
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    pivots, number = rnd.normal(size=(60, 4)), rnd.integers(0, 9, 60)
+    number[7] = 100
+    group = topk._groups(pivots, number, 20)
+    for g in range(group.max() + 1):
+        cells = np.flatnonzero((group == g) & (number > 0))
+        assert len(cells) and (number[cells].sum() <= 20 or list(cells) == [7])
+
+
 @pytest.mark.parametrize("copies", [2, 3, 9])
 def test_repeated_query_rows_leave_no_rank_out(spark, monkeypatch, copies):
     import numpy as np
