@@ -101,3 +101,14 @@ def test_completion_merges_the_patient_once(spark, tmp_path):
     assert len(tries) == 2
     merged = spark.read.parquet(target).collect()
     assert [r["patient_folder"] for r in merged] == ["p0", "p0"]  # both equal rows of a first write, once
+
+
+def test_progress_from_first_arrivals_alone(spark):
+    from vitalgrid.operators import tracker
+
+    rows, expected = scenario(5)
+    came = tracker.arrivals(spark.createDataFrame([(key, at) for _, key, at in rows], "object_key string, arrived_at timestamp"))
+    want = spark.createDataFrame([(p, t, n) for (p, t), n in expected.items()], "patient_id string, data_type string, expected long")
+    firsts = tracker.first_arrivals(came)
+    whole = sorted(map(tuple, tracker.type_progress(came, want).collect()), key=str)
+    assert sorted(map(tuple, tracker.type_progress(firsts, want, firsts=True).collect()), key=str) == whole

@@ -22,11 +22,19 @@ BATCH = ["batch_key"]
 
 def arrivals(df: DataFrame, types=K.DEVICE_TYPES, path: str = "object_key", at: str = "arrived_at") -> DataFrame:
     """Arrivals that belong to a batch, keyed by patient and processing day."""
+    return keyed(df.where(_of_types(path, types)), path, at)
+
+
+def _of_types(path: str, types) -> Column:
+    return paths.segment(F.col(path), 2).isNotNull() & paths.segment(F.col(path), 1).isin(*types)
+
+
+def keyed(df: DataFrame, path: str = "object_key", at: str = "arrived_at") -> DataFrame:
+    """The keys of arrivals; null where a path has too few segments."""
     kind, name = paths.segment(F.col(path), 1), paths.segment(F.col(path), 2)
     patient = paths.segment(F.col(path), 0)
     return (
-        df.where(name.isNotNull() & kind.isin(*types))
-        .withColumn("patient_id", patient)
+        df.withColumn("patient_id", patient)
         .withColumn("data_type", kind)
         .withColumn("batch_key", paths.batch_key(patient, F.date_format(at, "yyyy-MM-dd")))
         .withColumn("file_id", paths.file_id(kind, name))
@@ -59,18 +67,19 @@ def column_name(data_type: str) -> str:
     return data_type.replace("-", "_") + "_count"
 
 
-def type_progress(df: DataFrame, expected: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def type_progress(df: DataFrame, expected: DataFrame, before: DataFrame | None = None, firsts: bool = False) -> DataFrame:
     """Per batch and type: actual, expected, first seen, complete since.
 
     ``before`` (batch_key, data_type, actual, expected, seen, reached) is what
     was known without ``df``: counts go on from there, an expected number or a
-    time that was there stays, and types without rows in ``df`` are kept.
+    time that was there stays, and types without rows in ``df`` are kept. With
+    ``firsts`` the rows of ``df`` are first arrivals already.
 
     ``reached`` is the arrival that brings the type to its expected number. It
     is found in two steps: the minute in which the running count passes the
     number (at most 1440 counts a day), then the time inside that minute.
     """
-    once = first_arrivals(df)
+    once = df if firsts else first_arrivals(df)
     group = ["batch_key", "patient_id", "data_type"]
     slots = once.groupBy(*group, F.date_trunc("minute", "arrived_at").alias("slot")).agg(
         F.count(F.lit(1)).alias("n"), F.min("arrived_at").alias("first_at")
@@ -210,7 +219,7 @@ def outcomes(df: DataFrame, expected: DataFrame, row_id: str) -> DataFrame:
         df.dropna(subset=[*keys, "arrived_at"]).groupBy(*keys).agg(F.min(F.struct("arrived_at", row_id)).alias("_f"))
         .select(*keys, F.col("_f.arrived_at").alias("arrived_at"), F.col(f"_f.{row_id}").alias("_first"))
     )
-    progress = type_progress(firsts, expected)
+    progress = type_progress(firsts, expected, firsts=True)
     done = completion(progress, expected).where("completed_at is not null")
     return label_arrivals(df, firsts, progress, done, row_id)
 

@@ -89,12 +89,15 @@ def step(
     named = messages.withColumn("message_id", F.coalesce("message_id", F.sha2(F.coalesce("body", F.lit("")), 256)))
     # a message may be sent twice: its sendings are told apart by a number that is written once
     sending = F.concat_ws("/", "message_id", F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
-    messages = settle(A.parse_messages(named).withColumn("sending", sending))
+    # keys are cut out once; a body is asked for again only where no file could be read from it
+    body = F.when(F.col("object_key").isNull(), F.col("body")).alias("body")
+    keys = ["batch_key", "patient_id", "data_type", "file_id"]
+    messages = tracker.keyed(A.parse_messages(named).withColumn("sending", sending)).withColumn("day", _day())
+    messages = settle(messages.select("message_id", body, "object_key", "arrived_at", "sending", *keys, "day"))
     _reject(messages.where("object_key IS NULL"), number, home)
 
-    came = tracker.arrivals(messages.where("object_key IS NOT NULL"), types).withColumn("day", _day())
-    days = came.select("day").distinct()
-    keys = ["batch_key", "patient_id", "data_type", "file_id"]
+    came = messages.where(F.col("file_id").isNotNull() & F.col("data_type").isin(*types)).drop("body", "object_key")
+    days = settle(came.select("day").distinct())
     once = came.dropna(subset=[*keys, "arrived_at"]).groupBy(*keys, "day").agg(F.min(F.struct("arrived_at", "sending")).alias("f"))
     known = table(spark, home, "seen", number).join(days, "day", "left_semi").select("batch_key", "file_id")
     firsts = once.join(known, ["batch_key", "file_id"], "left_anti").select(
@@ -106,7 +109,7 @@ def step(
     latest = table(spark, home, "progress", number).join(days, "day", "left_semi").join(touched, "batch_key", "left_semi")
     state = F.max_by(F.struct("actual", "expected", "seen", "reached"), TRIGGER).alias("s")
     before = settle(latest.groupBy("batch_key", "patient_id", "data_type").agg(state).select("batch_key", "patient_id", "data_type", "s.*"))
-    now = tracker.type_progress(firsts.drop("_first", "day"), expected, before).withColumn("day", _day())
+    now = tracker.type_progress(firsts.drop("_first", "day"), expected, before, firsts=True).withColumn("day", _day())
     now = _write(now.withColumn("expected", F.coalesce("expected", F.lit(0))), home, "progress", number)
 
     over = table(spark, home, "completed", number).join(days, "day", "left_semi").select("batch_key")
