@@ -123,6 +123,50 @@ def test_crowd_of_unlinked_near_copies_gives_few_rows(spark):
     assert {r["a"] for r in found} == set(range(300))
 
 
+def test_large_texts_with_a_common_passage_are_told_apart_by_bitmaps(spark):
+    rnd, join = random.Random(12), jaccard.Join(gram=5, percent=80)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [(i, passage + " " + " ".join(f"w{rnd.getrandbits(40)}" for _ in range(rnd.randint(2500, 2700)))) for i in range(12)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = jaccard.sketch(docs, join, "doc_id", "text")
+    wanted = rows.select("node", F.array(F.struct(F.col("node").alias("tile"), F.lit(0).alias("block"))).alias("places"))
+    sets = jaccard.fetch_sets(docs, rows, wanted, join, "doc_id", "text")
+    labels = spark.createDataFrame([], "node long, label long")
+    assert sets.count() == 12 and jaccard.compare(rows.selectExpr("7L AS key", "node"), labels, sets, join).count() == 0
+
+
+@pytest.mark.parametrize("block,each", [(256, 16), (2, 0), (2, 16)])
+def test_threshold_is_exact_where_bitmaps_have_two_sizes(spark, block, each):
+    words = [f"w{i}" for i in range(850)]
+    rows = [(k, " ".join([*words[: 850 - k], *(f"y{i}" for i in range(k % 7))])) for k in range(0, 100, 3)]
+    rows += [(1000 + k, " ".join([*words[:k], f"z{k}", *words[k:]])) for k in range(0, 800, 100)]
+    got = jaccard.link(spark.createDataFrame(rows, "doc_id long, text string"), jaccard.Join(block=block, pair_block=block, pairs_each=each)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(brute(rows))
+
+
+def test_folded_bitmaps_are_those_of_the_smaller_size():
+    import numpy as np
+
+    owned = [np.unique(np.random.default_rng(n).integers(0, 1 << 62, n, dtype=np.uint64)) for n in (5, 700, 900, 1500, 2000, 9000)]
+    sizes = [jaccard.bitmap_size(len(x)) for x in owned]
+    folded = jaccard._folded([jaccard.bitmap(x, size).tobytes() for x, size in zip(owned, sizes)])
+    assert sizes == sorted(sizes) and sorted(folded) == sorted({s // 8 for s in sizes})
+    for size, (first, maps) in folded.items():
+        assert first == sizes.index(8 * size) and len(maps) == len(owned) - first
+        assert all((m == jaccard.bitmap(x, 8 * size)).all() for m, x in zip(maps, owned[first:]))
+
+
+def test_rounds_of_components_write_few_files(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for k, v in zip(before, ("40", "false")):
+        spark.conf.set(k, v)
+    labels = jaccard.components(spark.range(300).selectExpr("id AS a", "id + 1000 AS b"))
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    assert len(labels.inputFiles()) <= spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, labels.collect())) == sorted([(i, i) for i in range(300)] + [(i + 1000, i) for i in range(300)])
+
+
 def test_join_of_odd_documents(spark, odd, none):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     got = jaccard.link(odd).collect()

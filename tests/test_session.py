@@ -43,3 +43,12 @@ def test_scratch_goes_at_its_end(spark):
         assert not os.path.exists(inner) and gone.count() == 3
     assert not os.path.exists(folder)
     assert sorted(r["id"] for r in kept.collect()) == [1, 2, 3]
+
+
+def test_settled_result_leaves_no_shuffle_files(spark):
+    kept = lambda: sum(1 for f in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = kept()
+    counts = session.settle(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert kept() <= before and counts.count() == 7
+    assert spark.conf.get(session.CLEANUP) == "false"

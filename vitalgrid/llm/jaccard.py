@@ -12,12 +12,13 @@ cannot be linked and are never compared.
    parts with. Large tiles are cut into blocks, each with the tile's first set.
    In a block, parity bitmaps (one bit toggled per element) bound the overlap
    from above: ``(a + b - differing bits) / 2``; what passes is intersected
-   exactly, until all sets of the block are connected or compared.
+   exactly, until all sets of the block are connected or compared. A large set
+   has a large bitmap, folded to the smaller set's size for a comparison.
 2. Links give components. Parts that are still shared between different
    components are compared over all block pairs by bitmaps. A block in which few
-   pairs pass the bound hands these on, to be intersected exactly; a block in
-   which many pass becomes a tile of its own and is solved like the first ones,
-   with its components carried along, so only links leave it.
+   pairs pass the bound hands these on, to tiles of one set and its partners; a
+   block in which many pass becomes a tile of its own, with its components
+   carried along. These tiles are solved like the first ones, so only links leave them.
 
 No link is lost: each linked pair shares a part, and is either connected or
 compared. Equal sets are one node from the start, so copies cost nothing; no
@@ -50,6 +51,7 @@ SPACES[[9, 10, 11, 12, 13, 32]] = True
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Texts are hashed in stretches of about this many bytes.
 STRETCH = 1 << 22
+#: Bits of the smallest bitmap.
 BITS = 1024
 
 
@@ -185,9 +187,14 @@ def part_keys(own: np.ndarray, join: Join) -> np.ndarray:
     return np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
 
 
-def bitmap(own: np.ndarray) -> np.ndarray:
-    """Parity of the elements at each of 1024 places: two bitmaps differ in no more places than the sets in elements."""
-    odd = np.bincount((mix(own ^ U(0x2D358DCCAA6C78A5)) % U(BITS)).astype(np.int64), minlength=BITS) & 1
+def bitmap_size(n: int) -> int:
+    """Places for a set of n elements: a power of two, five fourths of n or more, so that unrelated sets differ in too many."""
+    return max(BITS, 1 << (5 * n // 4).bit_length())
+
+
+def bitmap(own: np.ndarray, size: int = BITS) -> np.ndarray:
+    """Parity of the elements at each place: two bitmaps differ in no more places than the sets in elements."""
+    odd = np.bincount((mix(own ^ U(0x2D358DCCAA6C78A5)) % U(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(U)
 
 
@@ -247,17 +254,22 @@ def shared_keys(rows: DataFrame) -> DataFrame:
     group = "PARTITION BY key"
     least, most = F.expr(f"min(node) OVER ({group})"), F.expr(f"max(node) OVER ({group})")
     found = shown.select("key", "node", least.alias("hub"), most.alias("top")).where("hub < top")
-    return settle(found.groupBy("key", "node").agg(F.first("hub").alias("hub")))
+    return found.groupBy("key", "node").agg(F.first("hub").alias("hub"))
 
 
-def tiles(shared: DataFrame, join: Join) -> DataFrame:
-    """(node, places): the tile and blocks a node goes to; a tile's hub goes to all blocks of it."""
-    votes = shared.groupBy("node", "hub").count()
-    own = votes.groupBy("node").agg(F.max(F.struct("count", "hub"))["hub"].alias("tile"))
+def deal(own: DataFrame, join: Join) -> DataFrame:
+    """(node, tile, block) of (node, tile): the tile's nodes in blocks; its hub, which it is named after, goes to all of them."""
     sizes = own.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(join.block)).cast("int").alias("blocks"))
     member = own.where("node <> tile").join(sizes, "tile").select("node", "tile", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
     hubs = sizes.select(F.col("tile").alias("node"), "tile", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    return member.unionByName(hubs).groupBy("node").agg(F.collect_list(F.struct("tile", "block")).alias("places"))
+    return member.unionByName(hubs)
+
+
+def tiles(shared: DataFrame, join: Join) -> DataFrame:
+    """(node, places): the tiles and blocks a node goes to."""
+    votes = shared.groupBy("node", "hub").count()
+    own = votes.groupBy("node").agg(F.max(F.struct("count", "hub"))["hub"].alias("tile"))
+    return deal(own, join).groupBy("node").agg(F.collect_list(F.struct("tile", "block")).alias("places"))
 
 
 def fetch_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
@@ -272,18 +284,23 @@ def fetch_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, join: Join,
                 seen.add(node)
                 own = shingles(None if again else body.as_py(), join.gram)
                 right = len(own) > 0 and node_of(own) == node
-                out.append((len(own), own.tobytes() if right else None, bitmap(own).tobytes() if right else None))
+                out.append((len(own), own.tobytes() if right else None, bitmap(own, bitmap_size(len(own))).tobytes() if right else None))
             columns = [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["node", "places", "n", "elements", "bits"])
 
-    one = rows.where("node IS NOT NULL").join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("rk").alias("rk"))
-    want = one.join(wanted, "node")
+    first = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("rk").alias("rk"))
+    want = first.join(wanted, "node")
     texts = docs.select(row_key(doc_id, text).alias("rk"), F.col(text).alias("text"))
     places = "places array<struct<tile:bigint,block:int>>"
     made = texts.join(want, "rk").select("node", "places", "text").mapInArrow(run, f"node bigint, {places}, n bigint, elements binary, bits binary")
     return settle(made.where("elements IS NOT NULL"))
 
 
+def few_files(found: DataFrame) -> DataFrame:
+    """For rows that are few beside those they were found in: the groups are worked through one after another by four tasks a core."""
+    return found.coalesce(4 * found.sparkSession.sparkContext.defaultParallelism)
+
+
 def _root(up: list[int], i: int) -> int:
     while up[i] != i:
         up[i] = up[up[i]]
@@ -291,8 +308,19 @@ def _root(up: list[int], i: int) -> int:
     return i
 
 
-def _bitmaps(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), U).reshape(-1, BITS // 64)
+def _folded(raw: list[bytes]) -> dict[int, tuple[int, np.ndarray]]:
+    """By the bytes of a bitmap: which is the first of that size, and it and all after it folded to that size.
+
+    The bitmaps are in the order of their sizes. Folding adds up places that agree modulo the smaller
+    size, so folded bitmaps are those that the smaller size would have given.
+    """
+    sizes = np.array([len(x) for x in raw])
+    kinds, firsts = np.unique(sizes, return_index=True)
+    maps = [np.frombuffer(b"".join(raw[a:b]), U).reshape(b - a, -1) for a, b in zip(firsts, [*firsts[1:], len(raw)])]
+    found = {}
+    for k, (size, first) in enumerate(zip(kinds.tolist(), firsts.tolist())):
+        found[size] = first, np.concatenate([np.bitwise_xor.reduce(m.reshape(len(m), -1, size // 8), axis=1) for m in maps[k:]])
+    return found
 
 
 def link_tiles(placed: DataFrame, join: Join) -> DataFrame:
@@ -305,14 +333,16 @@ def link_tiles(placed: DataFrame, join: Join) -> DataFrame:
         n = table["n"].to_numpy()
         order = np.argsort(n, kind="stable")
         n, nodes = n[order], table["node"].to_numpy()[order]
-        bits, raw = _bitmaps(table["bits"])[order], table["elements"].to_pylist()
+        bits, raw = table["bits"].take(order).to_pylist(), table["elements"].to_pylist()
+        folded = _folded(bits)
         own = [np.frombuffer(raw[i], U) for i in order]
         known: dict[int, int] = {}
         up, links = [known.setdefault(m, i) if m is not None else i for i, m in enumerate(table["label"].take(order).to_pylist())], []
         ends = np.searchsorted(n, 100 * n // join.percent, "right")
         for i in range(len(n)):
             j = np.arange(i + 1, ends[i])
-            differ = np.bitwise_count(bits[i] ^ bits[i + 1 : ends[i]]).sum(axis=1)
+            first, maps = folded[len(bits[i])]
+            differ = np.bitwise_count(maps[i - first] ^ maps[i + 1 - first : ends[i] - first]).sum(axis=1)
             for k in j[differ <= may_differ(n[j], n[i], join.percent)]:
                 a, b = _root(up, i), _root(up, int(k))
                 if a != b and (nodes[i] == nodes[k] or linked(own[i], own[k], join.percent)):
@@ -321,18 +351,23 @@ def link_tiles(placed: DataFrame, join: Join) -> DataFrame:
         a, b = zip(*links) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return placed.groupBy("tile", "block").applyInArrow(run, "a bigint, b bigint")
+    return few_files(placed.groupBy("tile", "block").applyInArrow(run, "a bigint, b bigint"))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that is reachable, for every node of an edge."""
-    links = settle(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a")).distinct())
-    labels = settle(links.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
+    """(node, label): the smallest node that is reachable, for every node of a written edge.
+
+    A round's rows are few, so that it writes a file a core, or one for a million edges, and not one a shuffle partition.
+    """
+    files = max(edges.sparkSession.sparkContext.defaultParallelism, edges.count() // 1_000_000 + 1)
+    both = edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a"))
+    links = settle(both.distinct().coalesce(files))
+    labels = settle(links.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")).coalesce(files))
     while True:
         seen = links.join(labels.withColumnsRenamed({"node": "b", "label": "near"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
         lower = labels.join(seen, "node").select("node", "label", F.least("label", "near").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("label").alias("far"))
-        after = settle(lower.join(jump, "low", "left").select("node", "label", F.least("low", F.coalesce("far", "low")).alias("next")))
+        after = settle(lower.join(jump, "low", "left").select("node", "label", F.least("low", F.coalesce("far", "low")).alias("next")).coalesce(files))
         changed = not after.where("next <> label").isEmpty()
         labels = after.select("node", F.col("next").alias("label"))
         if not changed:
@@ -364,7 +399,8 @@ def compare(shared: DataFrame, labels: DataFrame, sets: DataFrame, join: Join) -
         n = table["n"].to_numpy()
         order = np.argsort(n, kind="stable")
         n, nodes, label = n[order], table["node"].to_numpy()[order], table["label"].to_numpy()[order]
-        side, bits = table["own"].to_numpy()[order], _bitmaps(table["bits"])[order]
+        side, bits = table["own"].to_numpy()[order], table["bits"].take(order).to_pylist()
+        folded = _folded(bits)
         across, ends = key[1].as_py() != key[2].as_py(), np.searchsorted(n, 100 * n // join.percent, "right")
         found, count = [], 0
         for x in range(len(n)):
@@ -372,7 +408,8 @@ def compare(shared: DataFrame, labels: DataFrame, sets: DataFrame, join: Join) -
             y = y[label[y] != label[x]]
             if across:
                 y = y[side[y] != side[x]]
-            differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1).astype(np.int64)
+            first, maps = folded[len(bits[x])]
+            differ = np.bitwise_count(maps[x - first] ^ maps[y - first]).sum(axis=1).astype(np.int64)
             y = y[differ <= may_differ(n[y], n[x], join.percent)]
             count += len(y)
             if count > join.pairs_each * len(n):
@@ -383,46 +420,31 @@ def compare(shared: DataFrame, labels: DataFrame, sets: DataFrame, join: Join) -
         a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
         return pa.table({"tile": pa.nulls(len(a), pa.int64()), "a": pa.array(a), "b": pa.array(b)})
 
-    return settle(rows.groupBy("key", "i", "j").applyInArrow(run, "tile bigint, a bigint, b bigint"))
-
-
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are linked, written."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = [
-                linked(np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U), percent)
-                for x, y in zip(batch.column(2), batch.column(3))
-            ]
-            kept = batch.filter(pa.array(ok, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
-
-    own = sets.select("node", "elements")
-    both = pairs.join(own.withColumnsRenamed({"node": "a", "elements": "x"}), "a").join(own.withColumnsRenamed({"node": "b", "elements": "y"}), "b")
-    return settle(both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"))
+    return settle(few_files(rows.groupBy("key", "i", "j").applyInArrow(run, "tile bigint, a bigint, b bigint")))
 
 
-def node_labels(docs: DataFrame, rows: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
+def node_labels(docs: DataFrame, rows: DataFrame, shared: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
     """(node, label) of every node that is linked with another, written to last."""
-    shared = shared_keys(rows)
-    wanted = settle(tiles(shared, join))
-    sets = fetch_sets(docs, rows, wanted, join, doc_id, text)
+    sets = fetch_sets(docs, rows, tiles(shared, join), join, doc_id, text)
     placed = sets.select("node", "n", "elements", "bits", F.lit(None).cast("long").alias("label"), F.explode("places").alias("p"))
     edges = settle(link_tiles(placed.select("p.tile", "p.block", "node", "label", "n", "elements", "bits"), join))
     left = compare(shared, components(edges), sets, join)
-    edges = edges.unionByName(verify(left.where("tile IS NULL").select("a", "b").distinct(), sets, join.percent))
+    pairs = left.where("tile IS NULL").select(F.col("b").alias("node"), F.col("a").alias("tile")).distinct()
+    partners = deal(pairs, join).select("tile", "block", "node", F.lit(None).cast("long").alias("label"))
     crowded = left.where("tile IS NOT NULL").select("tile", F.lit(0).alias("block"), F.col("a").alias("node"), F.col("b").alias("label"))
-    edges = edges.unionByName(settle(link_tiles(crowded.join(sets.drop("places"), "node"), join)))
+    placed = partners.unionByName(crowded).join(sets.drop("places"), "node")
+    edges = edges.unionByName(settle(link_tiles(placed, join)))
     return settle(components(edges), lasting=True)
 
 
 def linked_nodes(docs: DataFrame, join: Join, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Rows (id, rk, n, node), and of every node its ``label`` with the id and rk that stand for it."""
-    with scratch(docs.sparkSession):
-        rows = sketch(docs, join, doc_id, text)
-        labels = node_labels(docs, rows, join, doc_id, text)
-        rows = settle(rows.select("id", "rk", "n", "node"), lasting=True)
+    with scratch(docs.sparkSession) as folder:
+        with scratch(docs.sparkSession):  # all keys are needed only until the shared ones are known
+            keyed = sketch(docs, join, doc_id, text)
+            shared = settle(shared_keys(keyed), home=folder)
+            rows = settle(keyed.select("id", "rk", "n", "node"), lasting=True)
+        labels = node_labels(docs, rows, shared, join, doc_id, text)
     # the first row of each node before the join, so that a node of many copies is one row there
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "rk")).alias("first")
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(first).join(labels, "node", "left")
