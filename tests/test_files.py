@@ -1,0 +1,69 @@
+"""Many files read by tasks."""
+
+import os
+
+from pyspark.sql import DataFrameReader
+from pyspark.sql import functions as F
+
+from vitalgrid import constants as K
+from vitalgrid.plans import intervals
+from vitalgrid.sinks import named, staged
+from vitalgrid.sources import files
+from vitalgrid.sources import lines as L
+
+BOM = b"\xef\xbb\xbf"
+ODD = [b"", b"\n", b"\r", b"\r\n", BOM, BOM + b"a\n", b"a", b"\n\n", b"\r\r", b"x\r\n\r\ny", b"caf\xe9\nb", b"a\rb\r\nc\n\rd", b"1,2\n" * 50 + b"end"]
+
+
+def put(root, name, text):
+    os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+    with open(f"{root}/{name}", "wb") as out:
+        out.write(text)
+
+
+def told(lines):
+    rows = lines.selectExpr("source_file", "line_no", "cast(line as binary) as line").collect()
+    return sorted((r["source_file"], r["line_no"], bytes(r["line"])) for r in rows)
+
+
+def test_lines_are_those_of_sparks_reader(spark, tmp_path):
+    root = str(tmp_path)
+    for i, text in enumerate(ODD):
+        put(root, f"p{i % 3}/x/f{i}.csv", text)
+    for name in ("top.csv", "_hidden/a.csv", "p/.b.csv", "p/_c.csv", "p/_metadata.csv", "k=_1/c.csv", "_a=1/c.csv", "p/d.txt", "sp ace/%20+&ü.csv"):
+        put(root, name, b"1\n2")
+    os.makedirs(f"{root}/none/here")
+    want = told(L.read_lines(spark, root, "*.csv"))
+    assert len(want) > 60
+    for piece in (files.PIECE_BYTES, 1, 3):  # the small ones cut files inside lines and between \r and \n
+        assert told(files.read_lines(spark, root, piece_bytes=piece)) == want
+    assert told(files.read_lines(spark, root, ".json")) == []
+
+
+def test_no_list_of_files_reaches_the_driver(spark, tmp_path, monkeypatch):
+    head = K.BBI_HEADER_MARK + ",isoDate,bbi"
+    one = spark.range(300).select(F.format_string("P%d/garmin-device-bbi/x_%08d.csv", F.col("id") % 100, F.col("id")).alias("source_file"))
+    texts = F.array(F.lit(head), F.lit("Z,1700000000000,2023-11-14T22:13:20Z,800"), F.lit("Z,1700000000860,2023-11-14T22:13:20Z,860"))
+    lines = one.select("source_file", F.posexplode(texts).alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("bigint"))
+
+    def listed(*_, **__):
+        raise AssertionError("the driver lists the files")
+
+    monkeypatch.setattr(DataFrameReader, "text", listed)
+    assert intervals.preprocess(lines, str(tmp_path))[0].first()["rows_out"] == 600
+    rows, _ = intervals.merged(intervals.read_preprocessed(spark, str(tmp_path))[0], "2025-01-01")
+    assert rows.count() == 300 and {r[0] for r in rows.select("mean_bbi").distinct().collect()} == {830.0}
+
+
+def test_a_repeated_move_finds_its_files(spark, tmp_path):
+    rows = spark.range(40).select(F.format_string("p%d/f%d.csv", F.col("id") % 4, F.col("id") % 8).alias("file"), F.col("id").cast("string").alias("line"))
+    path = str(tmp_path)
+    with staged.staging(path) as held:
+        made = staged.write_lines(rows.repartition(3, "file").sortWithinPartitions("file", "line"), held, "id")
+        made.write.parquet(f"{held}/list")
+        written = spark.read.parquet(f"{held}/list").withColumn("parts", F.lit(1))
+        assert written.count() == 8 and not os.path.exists(tmp_path / "p0")
+        for _ in range(2):
+            assert staged.move_files(written, path, named.part_name) == 40
+    assert sorted(os.listdir(path)) == ["p0", "p1", "p2", "p3"]
+    assert (tmp_path / "p1/f5.csv").read_text().split() == ["id", "13", "21", "29", "37", "5"]
