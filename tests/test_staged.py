@@ -1,0 +1,81 @@
+"""Folders of tables, written and replaced by tasks."""
+
+import datetime
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from vitalgrid import constants as K
+from vitalgrid.sinks import staged, tables
+
+ODD = ["a b", "x=1", "p%20", "é", "a:b", "[q]", "", None, "{z}", "it's", 'q"u', "tab\there", "plus+", "A", "a\\b"]
+
+
+def frame(spark):
+    rows = [(p, i, f"n{i}" if i % 3 else None, i / 7, datetime.datetime(2025, 1, 1, 0, i), i % 2 == 0) for i, p in enumerate(ODD * 3)]
+    return spark.createDataFrame(rows, "patient string, n int, text string, d double, at timestamp, flag boolean").withColumn("kind", F.lit("k"))
+
+
+def told(df):
+    return sorted(map(str, df.select("patient", "n", "text", "d", "at", "flag", "kind").collect())), sorted(df.dtypes)
+
+
+def put(df, path):
+    with staged.staging(path) as held:
+        made = staged.write_tables(df.repartition(3, "patient").sortWithinPartitions("patient"), held, ["kind", "patient"])
+        made.write.parquet(f"{held}/list")
+        written = df.sparkSession.read.parquet(f"{held}/list")
+        return [staged.replace_folders(written, path), written]
+
+
+def test_folders_are_those_of_sparks_writer(spark, tmp_path):
+    df = frame(spark)
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    tables.write_partitioned(df, a, ["kind", "patient"])
+    assert put(df, b)[0] == len(ODD) * 3
+    names = [sorted({os.path.relpath(os.path.dirname(f), p) for f in glob.glob(f"{p}/**/*.parquet", recursive=True)}) for p in (a, b)]
+    assert names[0] == names[1] and os.listdir(b) == ["kind=k"]
+    assert told(spark.read.parquet(a)) == told(spark.read.parquet(b))
+    # a second run replaces its own folders, whatever is in them
+    more = df.where("patient in ('a b', 'A')").withColumn("n", F.col("n") + 1000)
+    for path in (a, b):
+        os.makedirs(f"{path}/kind=k/patient=A/sub")
+    tables.write_partitioned(more, a, ["kind", "patient"])
+    assert put(more, b)[0] == 6 and not os.path.exists(f"{b}/kind=k/patient=A/sub")
+    assert told(spark.read.parquet(a)) == told(spark.read.parquet(b))
+
+
+def test_a_task_run_again_takes_nothing_new_away(spark, tmp_path, monkeypatch):
+    path, crowd = str(tmp_path / "t"), spark.range(900).select(F.lit("k").alias("kind"), F.lit("A").alias("patient"), "id")
+    with staged.staging(path) as held:
+        made = staged.write_tables(crowd.repartition(3), held, ["kind", "patient"])
+        made.write.parquet(f"{held}/list")
+        written = spark.read.parquet(f"{held}/list")
+        assert written.count() == 3
+        monkeypatch.setattr(staged.uuid, "uuid4", lambda: type("U", (), {"hex": "job"}))
+        for _ in range(2):
+            assert staged.replace_folders(written, path) == 900
+    assert spark.read.parquet(path).agg(F.sum("id")).first()[0] == 900 * 899 // 2
+
+
+def test_failed_write_leaves_old_folders(spark, tmp_path):
+    path, old = str(tmp_path), spark.createDataFrame([("k", "A", 1)], "kind string, patient string, n int")
+    assert put(old, path)[0] == 1
+    with pytest.raises(Exception, match="lost"):
+        put(old.withColumn("n", F.raise_error(F.lit("lost")).cast("int")), path)
+    assert os.listdir(path) == ["kind=k"] and spark.read.parquet(path).first()["n"] == 1
+
+
+def test_patients_folders_do_not_pass_through_the_driver(spark, tmp_path, monkeypatch):
+    def one_by_one(*_, **__):
+        raise AssertionError("folders are opened and replaced one by one")
+
+    monkeypatch.setattr(tables, "write_partitioned", one_by_one)
+    rows = spark.range(2400).select(F.format_string("P%d/x/f.csv", F.col("id") % 800).alias("source_file"), F.col("id").alias("line_no"))
+    for _ in range(2):
+        assert tables.write_cleaned(rows, str(tmp_path), K.STEP) == 2400
+    got = spark.read.parquet(str(tmp_path))
+    assert got.count() == 2400 and got.select("patient_id").distinct().count() == 800 and got.where("data_type != 'garmin-device-step'").isEmpty()
+    assert len(glob.glob(f"{tmp_path}/data_type=*/patient_id=*/*.parquet")) == 800
