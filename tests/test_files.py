@@ -67,3 +67,27 @@ def test_a_repeated_move_finds_its_files(spark, tmp_path):
             assert staged.move_files(written, path, named.part_name) == 40
     assert sorted(os.listdir(path)) == ["p0", "p1", "p2", "p3"]
     assert (tmp_path / "p1/f5.csv").read_text().split() == ["id", "13", "21", "29", "37", "5"]
+
+
+def test_raw_lines_are_read_twice_whatever_their_kinds(spark, tmp_path):
+    texts = {
+        "P/garmin-device-bbi/a_cd037752.csv": [K.BBI_HEADER_MARK + ",isoDate,bbi", "Z,1700000000000,2023-11-14T22:13:20Z,800", "", "Z,1700000000860,2023-11-14T22:13:20Z,860"],
+        "P/garmin-device-bbi/b.csv": [K.BBI_ZONE_MARK, "1700086400000", K.BBI_ZONE_MARK, "1700086400900"],
+        "P/garmin-device-bbi/d_cd037752.csv": [K.BBI_HEADER_MARK, "Z,1700000000000", "Z,1700000000900", "Z,1700000001800"],
+        "Q/bbi/c.csv": ["1,x", "", "2"],
+    }
+    rows = [(f, i, t) for f, ts in texts.items() for i, t in enumerate(ts)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    lines = spark.createDataFrame(rows, "source_file string, line_no bigint, line string")
+    told, _ = intervals.preprocess(lines.mapInArrow(passed, lines.schema), str(tmp_path / "a"))
+    assert told.first().asDict() == {"flow": "intervals", "files_in": 4, "files_rejected": 0, "rows_in": 9, "rows_out": 7, "removed": 2}
+    assert seen.value == 2 * len(rows)
+    bad = spark.createDataFrame([("x.csv", 0, bytearray(b"caf\xe9"))], "source_file string, line_no bigint, raw binary")
+    told, _ = intervals.preprocess(bad.selectExpr("source_file", "line_no", "cast(raw as string) as line"), str(tmp_path / "b"))
+    assert told.first().asDict() == {"flow": "intervals", "files_in": 1, "files_rejected": 1, "rows_in": 0, "rows_out": 0, "removed": 0}
